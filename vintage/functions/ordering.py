@@ -29,8 +29,9 @@ HASH_BITS = 16
 
 def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
     """Approximate quantiles that split ``value`` into even buckets (one pass)."""
-    probs = [i / buckets for i in range(1, buckets)]
-    found = df.agg(F.percentile_approx(F.col(value).cast("double"), probs, ACCURACY)).head()[0]
+    probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
+    sketch = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({probs}), {ACCURACY})")
+    found = df.agg(sketch).head()[0]
     return sorted({x for x in found or [] if math.isfinite(x)})
 
 

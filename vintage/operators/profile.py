@@ -20,18 +20,25 @@ def _union(parts: Sequence[DataFrame]) -> DataFrame:
 
 def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
                    exact: bool = False) -> DataFrame:
-    """Type, rows, nulls, distinct values, min and max (as text) per column."""
+    """Type, rows, nulls, distinct values, min and max (as text) per column.
+
+    Approximate distinct counts take one pass over all columns. Exact ones
+    count each column's values apart, so only single values are shuffled and
+    equal ones are merged before that.
+    """
     columns = list(columns or df.columns)
-    distinct = F.count_distinct if exact else F.approx_count_distinct
+    kinds = {c: df.schema[c].dataType.simpleString() for c in columns}
+    if exact:
+        return _union([_exact_profile(df, c, kinds[c]) for c in columns])
     parts = []
     for batch in batches(columns):
         structs = [
             F.struct(
                 F.lit(c).alias("column"),
-                F.lit(df.schema[c].dataType.simpleString()).alias("type"),
+                F.lit(kinds[c]).alias("type"),
                 F.count("*").alias("rows"),
                 (F.count("*") - F.count(c)).alias("nulls"),
-                distinct(F.col(c)).alias("distinct"),
+                F.approx_count_distinct(c).alias("distinct"),
                 F.min(c).cast("string").alias("min"),
                 F.max(c).cast("string").alias("max"),
             )
@@ -41,6 +48,19 @@ def column_profile(df: DataFrame, columns: Sequence[str] | None = None,
     return _union(parts)
 
 
+def _exact_profile(df: DataFrame, column: str, kind: str) -> DataFrame:
+    values = df.groupBy(F.col(column).alias("v")).agg(F.count("*").alias("n"))
+    return values.agg(
+        F.lit(column).alias("column"),
+        F.lit(kind).alias("type"),
+        F.coalesce(F.sum("n"), F.lit(0)).alias("rows"),
+        F.coalesce(F.sum(F.when(F.col("v").isNull(), F.col("n"))), F.lit(0)).alias("nulls"),
+        F.count("v").alias("distinct"),
+        F.min("v").cast("string").alias("min"),
+        F.max("v").cast("string").alias("max"),
+    )
+
+
 def type_histogram(profile: DataFrame) -> DataFrame:
     """How many columns of a profile have each type."""
     return profile.groupBy("type").agg(F.count("*").alias("columns"))
@@ -279,7 +299,7 @@ def schema_consistency(tables: Mapping[str, DataFrame]) -> DataFrame:
     per_table = long_rows(stacked, structs, by=["_table"])
     declared = F.create_map(*[F.lit(v) for c, t in typed.items() for v in (c, len(t))])
     return per_table.groupBy("column").agg(
-        F.count_if("filled > 0").alias("tables_present"),
+        F.count_if(F.col("filled") > 0).alias("tables_present"),
         F.array_join(F.sort_array(F.collect_set(F.when(F.col("filled") > 0, F.col("_table")))), ",").alias("found_in"),
         F.sum("filled").alias("values"),
     ).withColumn("declared_types", declared[F.col("column")])

@@ -6,6 +6,7 @@ import itertools
 import random
 from collections.abc import Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
+from functools import reduce
 from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
@@ -53,6 +54,15 @@ SCORING = {"roc_auc": "roc_auc", "precision": "precision", "recall": "recall", "
 MAX_DEPTH = 30
 
 
+# Iterative fits pay for every task on every step, so small tables use few.
+ROWS_PER_TASK = 50_000
+
+
+def sized(df: DataFrame, rows: int) -> DataFrame:
+    """At least ROWS_PER_TASK rows per partition; a large table stays as it is."""
+    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+
+
 def class_counts(df: DataFrame, label: str) -> tuple[int, int]:
     """Negative and positive rows."""
     row = df.agg(F.count_if(F.col(label) == 0), F.count_if(F.col(label) == 1)).head()
@@ -154,7 +164,7 @@ def fit(df: DataFrame, name: str, features: Sequence[str], label: str = "label",
         counts: tuple[int, int] | None = None) -> PipelineModel:
     """Fit one model with its class weighting."""
     neg, pos = counts or class_counts(df, label)
-    weighted = df.withColumn("_weight", weight_for(name, label, neg, pos))
+    weighted = sized(df, neg + pos).withColumn("_weight", weight_for(name, label, neg, pos))
     return estimator(name, features, neg + pos, params, label, seed=seed).fit(weighted)
 
 
@@ -181,8 +191,8 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
            k: int = 5, scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42) -> DataFrame:
     """Cross-validated score per candidate and fold, on both sides of the fold.
 
-    Each fit and each evaluation is a distributed Spark job; the driver only
-    keeps a few of them in flight and holds one number per side.
+    Each fit is a distributed Spark job and a candidate's folds are evaluated
+    together; the driver keeps a few of them in flight and one number per side.
     """
     if scoring not in SCORING:
         raise ValueError(f"unknown scoring metric: {scoring}")
@@ -196,24 +206,39 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
         (r["fold"], int(r[label])): r["count"] for r in folded.groupBy("fold", label).count().collect()
     }
 
+    few = sized(folded, sum(sizes.values()))
+
     def train_counts(fold):
         return tuple(sum(n for (f, y), n in sizes.items() if f != fold and y == side) for side in (0, 1))
 
-    def run(job):
+    def fit_one(job):
         i, fold = job
-        train = folded.filter(F.col("fold") != fold)
-        model = fit(train, name, features, label, candidates[i], seed, train_counts(fold))
-        side = F.when(F.col("fold") == fold, "test").otherwise("train")
-        scored = model.transform(folded).select(
-            side.alias("side"), label, "prediction", positive_probability().alias("probability")
-        )
-        found = {r["side"]: r[metric] for r in evaluate(scored, label, by=["side"]).collect()}
-        return i, str(dict(candidates[i])), fold, found.get("test"), found.get("train")
+        train = few.filter(F.col("fold") != fold)
+        return fit(train, name, features, label, candidates[i], seed, train_counts(fold))
+
+    def score_one(job):
+        i, models = job
+        parts = []
+        for fold, model in enumerate(models):
+            side = F.when(F.col("fold") == fold, "test").otherwise("train")
+            scored = model.transform(few).select(
+                F.lit(fold).alias("held_out"), side.alias("side"), label, "prediction",
+                positive_probability().alias("probability"),
+            )
+            parts.append(scored)
+        scores = evaluate(reduce(DataFrame.unionByName, parts), label, by=["held_out", "side"])
+        found = {(r["held_out"], r["side"]): r[metric] for r in scores.collect()}
+        params = str(dict(candidates[i]))
+        return [(i, params, f, found.get((f, "test")), found.get((f, "train"))) for f in range(k)]
 
-    jobs = [(i, f) for i in range(len(candidates)) for f in range(k)]
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            rows = list(pool.map(inheritable_thread_target(df.sparkSession)(run), jobs))
+            def spread(fn, jobs):
+                return list(pool.map(inheritable_thread_target(df.sparkSession)(fn), jobs))
+
+            models = spread(fit_one, [(i, f) for i in range(len(candidates)) for f in range(k)])
+            jobs = [(i, models[i * k : (i + 1) * k]) for i in range(len(candidates))]
+            rows = list(itertools.chain.from_iterable(spread(score_one, jobs)))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(

@@ -26,8 +26,10 @@ def stream_table(spark: SparkSession, path: str, files_per_batch: int = 1000) ->
     watermark needs one.
     """
     schema = spark.read.parquet(path).schema
+    # A file stream takes a folder or a glob; the glob also fits a single file.
+    glob = f"{path[:-1]}[{path[-1]}]"
     stream = (
-        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(path)
+        spark.readStream.schema(schema).option("maxFilesPerTrigger", files_per_batch).parquet(glob)
     )
     zoneless = [f.name for f in schema if isinstance(f.dataType, T.TimestampNTZType)]
     return nan_to_null(stream.withColumns({c: F.col(c).cast("timestamp") for c in zoneless}))
