@@ -12,31 +12,36 @@ from vintage.plans import jobs
 from vintage.sources import tables
 from vintage.streaming import requests as streams
 
-TEXT_FEATURES = ["chars", "words", "lines", "digits", "capitals", "repeats", "long_share"]
+TEXT_FEATURES = ["chars", "words", "lines", "digits", "capitals", "repeats", "blank_share"]
 
 
 def labelled_documents(spark, sf_dir):
-    """Quality label and counts over the whole text of each labelled document."""
-    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    """Quality label and counts over the whole text of each labelled document.
+
+    The counts are written once: every fit and score below reads the small
+    numeric table, not the text.
+    """
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     rows = table(spark, sf_dir, "labels").join(docs, "doc_id")
     words = F.split(F.trim("text"), r"\s+")
     chars = F.length("text").cast("double")
 
-    def letters(pattern):
-        return F.length(F.regexp_replace("text", pattern, "")).cast("double")
+    def count_of(letters):
+        return chars - F.length(F.translate("text", letters, ""))
 
-    return rows.select(
+    counted = rows.select(
         "doc_id",
         F.col("quality").alias("label"),
         F.when(F.pmod(F.xxhash64("doc_id"), F.lit(10)) < 7, "train").otherwise("test").alias("split"),
         chars.alias("chars"),
         F.size(words).cast("double").alias("words"),
-        F.size(F.split("text", "\n")).cast("double").alias("lines"),
-        letters("[^0-9]").alias("digits"),
-        letters("[^A-Z]").alias("capitals"),
+        (count_of("\n") + 1).alias("lines"),
+        count_of("0123456789").alias("digits"),
+        count_of("ABCDEFGHIJKLMNOPQRSTUVWXYZ").alias("capitals"),
         (1 - F.size(F.array_distinct(words)) / F.size(words)).alias("repeats"),
-        F.coalesce(F.try_divide(letters(r"\s"), F.size(words)), F.lit(0.0)).alias("long_share"),
+        F.coalesce(F.try_divide(count_of(" \n\t"), chars), F.lit(0.0)).alias("blank_share"),
     )
+    return tables.cut_lineage(counted)
 
 
 @query(

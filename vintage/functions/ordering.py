@@ -22,13 +22,22 @@ from vintage.functions.columns import batches, melt, row_hash
 # Up to this many rows Spark's own percentile() is used: its value map then
 # has at most this many entries per column.
 EXACT_ROWS = 5_000_000
+# Up to this many rows one task may order on its own; beyond it the order is
+# split into buckets.
+SINGLE_TASK_ROWS = 1_000_000
 BUCKETS = 512
 ACCURACY = 10_000
 HASH_BITS = 16
 
 
 def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """Approximate quantiles that split ``value`` into even buckets (one pass)."""
+    """Values that split ``value`` into even buckets, none for a small table.
+
+    The table is counted first, which reads no more than its filter columns;
+    only a table too large for one task is sketched.
+    """
+    if df.count() <= SINGLE_TASK_ROWS:
+        return []
     probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     sketch = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({probs}), {ACCURACY})")
     found = df.agg(sketch).head()[0]
@@ -37,21 +46,26 @@ def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]
 
 def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     if not cuts:
-        return df.withColumn("_bucket", F.lit(0.0))
+        return df.withColumn("_bucket", F.lit(0))
     keyed = df.withColumn("_order", F.col(value).cast("double"))
-    splits = [-math.inf, *cuts, math.inf]
-    return Bucketizer(
-        splits=splits, inputCol="_order", outputCol="_bucket", handleInvalid="keep"
-    ).transform(keyed).drop("_order")
+    found = Bucketizer(
+        splits=[-math.inf, *cuts, math.inf], inputCol="_order", outputCol="_bucket", handleInvalid="keep"
+    ).transform(keyed)
+    return found.withColumn("_bucket", F.col("_bucket").cast("int")).drop("_order")
 
 
 def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
-    """Attach per-(keys, bucket) offsets; NULL keys match each other."""
+    """Attach per-(keys, bucket) offsets; NULL keys match each other.
+
+    Without keys the offsets are one row per bucket, at most 2 ** HASH_BITS, so
+    they are broadcast. With keys their number is unknown: Spark decides.
+    """
     on = [*keys, "_bucket"]
     right = offsets.withColumnsRenamed({k: f"_off_{k}" for k in on})
     cond = [rows[k].eqNullSafe(right[f"_off_{k}"]) for k in keys]
     cond.append(rows["_bucket"] == right["_off__bucket"])
-    return rows.join(right, cond).drop(*[f"_off_{k}" for k in on])
+    side = right if keys else F.broadcast(right)
+    return rows.join(side, cond).drop(*[f"_off_{k}" for k in on])
 
 
 def running_totals(
@@ -68,8 +82,10 @@ def running_totals(
     """
     if cuts is None:
         cuts = cut_points(groups, order)
-    rows = _with_bucket(groups, order, cuts)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
+    if not cuts:
+        return _small_totals(groups, direction(order), sums, by)
+    rows = _with_bucket(groups, order, cuts)
     totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     part = [*by] or [F.lit(0)]
     before = Window.partitionBy(*part).orderBy(direction("_bucket")).rowsBetween(
@@ -90,6 +106,14 @@ def running_totals(
     return out.drop("_bucket", *[f"_o_{s}" for s in sums])
 
 
+def _small_totals(groups, ordering, sums, by):
+    whole = Window.partitionBy(*([*by] or [F.lit(0)]))
+    upto = whole.orderBy(ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    return groups.withColumns(
+        {f"cum_{s}": F.sum(s).over(upto) for s in sums} | {f"all_{s}": F.sum(s).over(whole) for s in sums}
+    )
+
+
 def _hash_offsets(rows: DataFrame, by: Sequence[str]) -> DataFrame:
     counts = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_size"))
     part = [*by] or [F.lit(0)]

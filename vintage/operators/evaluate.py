@@ -46,7 +46,8 @@ def ranked_counts(scored: DataFrame, label: str = "label", score: str = "probabi
     )
 
 
-def _areas() -> list[Column]:
+def areas() -> list[Column]:
+    """ROC area and average precision as aggregates over ranked counts."""
     pos, neg = F.col("pos").cast("double"), F.col("neg").cast("double")
     pairs = neg * (F.col("tp") - F.col("pos")) + neg * pos / 2
     all_pairs = F.max(F.col("positives").cast("double") * F.col("negatives"))
@@ -61,7 +62,7 @@ def ranking_metrics(scored: DataFrame, label: str = "label", score: str = "proba
                     by: Sequence[str] = (), cuts: Sequence[float] | None = None) -> DataFrame:
     """ROC area (ties at half) and average precision (step sum) per group."""
     counts = ranked_counts(scored, label, score, by, cuts)
-    return counts.groupBy(*by).agg(*_areas())
+    return counts.groupBy(*by).agg(*areas())
 
 
 def roc_curve(scored: DataFrame, label: str = "label", score: str = "probability",
@@ -205,7 +206,7 @@ def evaluate(scored: DataFrame, label: str = "label", score: str = "probability"
         {"cum_pos": "tp", "cum_neg": "fp", "all_pos": "positives", "all_neg": "negatives"}
     )
     summed = ranked.groupBy(*by).agg(
-        *_areas(),
+        *areas(),
         F.sum("neg").alias("_n"),
         F.sum("pos").alias("_m"),
         F.sum("hits").alias("_tp"),

@@ -7,10 +7,10 @@ from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
+from vintage.functions import ordering
 from vintage.functions.columns import batches, date_of, long_rows, melt, numeric_columns, percent
-from vintage.operators.evaluate import ranking_metrics
+from vintage.operators.evaluate import areas, ranked_counts
 from vintage.spec import LoanSpec
 
 
@@ -202,13 +202,19 @@ def leakage_screen(df: DataFrame, label: str, columns: Sequence[str] | None = No
     """
     columns = [c for c in columns or numeric_columns(df) if c != label]
     labelled = df.filter(F.col(label).isNotNull())
+    rows = labelled.count()
     long = melt(labelled, columns, keep=[F.col(label).cast("long").alias("label")])
-    scores = ranking_metrics(long, label="label", score="value", by=["column"])
-    nulls = missing_profile(labelled, columns, only_missing=False)
-    return nulls.join(scores, "column", "left").select(
+    small = rows * len(columns) <= ordering.SINGLE_TASK_ROWS
+    ranked = ranked_counts(long, "label", "value", ["column"], [] if small else None)
+    scores = ranked.groupBy("column").agg(
+        *areas(), (F.max("positives") + F.max("negatives")).alias("filled")
+    )
+    names = df.sparkSession.createDataFrame([(c,) for c in columns], "column string")
+    missing = F.lit(rows) - F.coalesce("filled", F.lit(0))
+    return names.join(scores, "column", "left").select(
         "column",
         leakage_risk(F.col("column"), spec).alias("risk"),
-        F.col("pct").alias("null_pct"),
+        F.coalesce(percent(missing, F.lit(rows)), F.lit(0.0)).alias("null_pct"),
         F.col("roc_auc").alias("auc"),
     )
 

@@ -144,7 +144,10 @@ def shared_folder(spark: SparkSession) -> str:
 
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages restart from files, not from the source."""
-    shared_folder(df.sparkSession)
+    context = df.sparkSession.sparkContext
+    folder = shared_folder(df.sparkSession)
+    if context.getCheckpointDir() is None:
+        context.setCheckpointDir(folder)
     return df.checkpoint()
 
 
