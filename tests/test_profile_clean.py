@@ -222,6 +222,6 @@ def test_clean_table_reports(spark):
     assert out.columns == ["id", "issue_d", "x"]
     assert by(out, "id")[2]["x"] == 3.0
     assert {r.column for r in reports["outliers"].collect()} == {"id", "x"}
-    assert [r.columns for r in reports["shapes"].collect()] == [4, 3]
+    assert [(r.rows, r.columns) for r in reports["shapes"].collect()] == [(3, 4), (3, 3)]
     with pytest.raises(ValueError):
         jobs.clean_table(df, fit_on="train")

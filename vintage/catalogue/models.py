@@ -7,9 +7,10 @@ closed forms and Spark's own evaluators instead.
 from pyspark.sql import functions as F
 
 from vintage.catalogue.base import LABELS, loans, query, rounded, table
-from vintage.operators import evaluate, explain, monitor, score, split, train
+from vintage.operators import evaluate, explain, features, monitor, score, split, train
 from vintage.plans import jobs
 from vintage.sources import tables
+from vintage.spec import LoanSpec
 from vintage.streaming import requests as streams
 
 TEXT_FEATURES = ["chars", "words", "lines", "digits", "capitals", "repeats", "blank_share"]
@@ -115,18 +116,28 @@ def retrain_models(spark, sf_dir):
 @query()
 def loan_model_metrics(spark, sf_dir):
     """Clean, label, split by date, derive, fit and evaluate on loan rows."""
-    from vintage.operators.features import model_inputs
-    from vintage.spec import LoanSpec
-
-    raw = loans(spark, sf_dir)
-    cleaned, _ = jobs.clean_table(raw, LoanSpec(), exclude=["loan_status", "issue_d"])
-    made, _ = jobs.build_features(cleaned, LoanSpec(labels=LABELS), mode="full")
-    keyed = made.withColumn("id", F.xxhash64(*made.columns))
-    inputs = [c for c in model_inputs(made, "target") if c != "id"]
-    result = jobs.retrain(keyed, ["id"], inputs=inputs, models=("logistic_regression",), tune=False)
+    spec = LoanSpec(labels=LABELS)
+    result = jobs.train_from_raw(
+        loans(spark, sf_dir), spec, "full", models=("logistic_regression",), tune=False
+    )
     return result["metrics"]
 
 
+@query()
+def scored_applications(spark, sf_dir):
+    """Rows rejected by rule or for a NULL feature, and scored rows by class."""
+    rows = loans(spark, sf_dir)
+    inputs = ["loan_amnt", "int_rate", "dti", "annual_inc", "fico_midpoint", "issue_month"]
+    labelled = features.engineer_features(split.map_labels(rows, "loan_status", LABELS)).dropna(subset=inputs)
+    model = train.fit(labelled, "logistic_regression", inputs, "target")
+    rules = [r for r in score.application_rules() if r.name in {*inputs, "fico_range_low", "fico_range_high"}]
+    scored, rejected = jobs.score_applications(rows, model, rules, ["id"])
+    outcome = scored.select(F.col("prediction").cast("string").alias("outcome")).unionByName(
+        rejected.select(F.explode("violations").alias("outcome"))
+    )
+    return outcome.groupBy("outcome").agg(F.count("*").alias("rows"))
+
+
 @query()
 def permutation_attribution(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)

@@ -118,8 +118,9 @@ def split_check(spark, sf_dir):
 
 
 @query(
-    """SELECT o_orderkey, CASE WHEN o_orderdate < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS split
-       FROM orders WHERE o_orderkey % 9 <> 0"""
+    """WITH x AS (SELECT o_orderkey, CASE WHEN o_orderkey % 9 <> 0 THEN o_orderdate END AS issued FROM orders)
+       SELECT o_orderkey, CASE WHEN issued < TIMESTAMP '2000-01-01' THEN 'train' ELSE 'test' END AS split
+       FROM x WHERE issued IS NOT NULL"""
 )
 def temporal_split(spark, sf_dir):
     orders = table(spark, sf_dir, "orders").withColumn(

@@ -17,11 +17,12 @@ from pyspark.ml.feature import Bucketizer
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintage.functions.columns import batches, melt, row_hash
+from vintage.functions.columns import BATCH, batches, melt, row_hash
 
-# Up to this many rows Spark's own percentile() is used: its value map then
-# has at most this many entries per column.
-EXACT_ROWS = 5_000_000
+# Up to this many rows Spark's own percentile() is used. It keeps a map of all
+# distinct values in one task, so the map entries per job are bounded as well.
+EXACT_ROWS = 1_000_000
+EXACT_CELLS = 4_000_000
 # Up to this many rows one task may order on its own; beyond it the order is
 # split into buckets.
 SINGLE_TASK_ROWS = 1_000_000
@@ -184,7 +185,8 @@ def exact_quantiles(
         counts = non_null_counts(df, columns)
     out: dict[str, list[float] | None] = {c: None for c in columns if not counts[c]}
     small = [c for c in columns if 0 < counts[c] <= limit]
-    for batch in batches(small):
+    width = max(1, EXACT_CELLS // max([counts[c] for c in small], default=1))
+    for batch in batches(small, min(width, BATCH)):
         row = df.agg(
             *[F.percentile(F.col(c).cast("double"), list(map(float, probs))).alias(c) for c in batch]
         ).head()

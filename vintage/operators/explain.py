@@ -20,12 +20,13 @@ from vintage.sources.tables import cut_lineage, model_features
 
 def linear_attribution(df: DataFrame, background: DataFrame, key: Sequence[str],
                        coefficients: Mapping[str, float],
-                       scale: Mapping[str, float] | None = None) -> DataFrame:
+                       scale: Mapping[str, float] | None = None,
+                       means: Mapping[str, float] | None = None) -> DataFrame:
     """coefficient * (x - background mean) / scale, long form, in log-odds.
 
     The background means are one row; they become literals, not a join.
     """
-    means = background.agg(*[F.avg(c).alias(c) for c in coefficients]).head()
+    means = means or background.agg(*[F.avg(c).alias(c) for c in coefficients]).head()
     scale = scale or {}
     cells = [
         F.struct(
@@ -40,17 +41,22 @@ def linear_attribution(df: DataFrame, background: DataFrame, key: Sequence[str],
 
 def explain_linear(model: PipelineModel, df: DataFrame, background: DataFrame,
                    key: Sequence[str]) -> DataFrame:
-    """Linear attribution with the weights and scales of a fitted pipeline."""
+    """Linear attribution with the weights and scales of a fitted pipeline.
+
+    ``base`` is the log-odds of the mean background row.
+    """
     features = model_features(model)
     scaler = next(s for s in model.stages if isinstance(s, StandardScalerModel))
-    weights = next(s for s in model.stages if isinstance(s, LogisticRegressionModel)).coefficients
-    return linear_attribution(
-        df,
-        background,
-        key,
-        dict(zip(features, map(float, weights.toArray()))),
-        dict(zip(features, map(float, scaler.std.toArray()))),
+    fitted = next(s for s in model.stages if isinstance(s, LogisticRegressionModel))
+    weights = dict(zip(features, map(float, fitted.coefficients.toArray())))
+    scale = dict(zip(features, map(float, scaler.std.toArray())))
+    center = dict(zip(features, map(float, scaler.mean.toArray())))
+    means = background.agg(*[F.avg(c).alias(c) for c in features]).head()
+    base = fitted.intercept + sum(
+        weights[c] * (means[c] - center[c]) / scale[c] for c in features if scale[c]
     )
+    shares = linear_attribution(df, background, key, weights, scale, means.asDict())
+    return shares.withColumn("base", F.lit(float(base)))
 
 
 def _orders(d: int, permutations: int, seed: int) -> list[list[int]]:
@@ -160,11 +166,15 @@ def top_features(table: DataFrame, k: int = 10, by: Sequence[str] = ("model",))
 
 
 def instance_breakdown(attribution: DataFrame, key: Sequence[str], k: int = 15) -> DataFrame:
-    """Waterfall data: the ``k`` largest contributions per row, rest as one."""
+    """Waterfall data: the ``k`` largest contributions per row, rest as one.
+
+    The row's base value is carried along when the attribution has one.
+    """
     w = Window.partitionBy(*key).orderBy(F.desc(F.abs("phi")), "feature")
     ranked = attribution.withColumn("rank", F.least(F.row_number().over(w), F.lit(k + 1)))
     name = F.when(F.col("rank") <= k, F.col("feature")).otherwise("other")
-    return ranked.groupBy(*key, "rank", name.alias("feature")).agg(F.sum("phi").alias("phi"))
+    carried = [F.max(c).alias(c) for c in ("base",) if c in attribution.columns]
+    return ranked.groupBy(*key, "rank", name.alias("feature")).agg(F.sum("phi").alias("phi"), *carried)
 
 
 def explain(model: PipelineModel, background: DataFrame, df: DataFrame, key: Sequence[str],
@@ -182,7 +192,7 @@ def explain(model: PipelineModel, background: DataFrame, df: DataFrame, key: Seq
     shares = permutation_attribution(
         model, rows, pool.select(*model_features(model)), key, permutations, seed, output
     )
-    return shares.select(*key, "feature", "phi")
+    return shares.select(*key, "feature", "phi", "base")
 
 
 def explain_all(models: Mapping[str, PipelineModel], background: DataFrame, df: DataFrame,

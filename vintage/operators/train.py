@@ -108,6 +108,8 @@ def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str
     ``rows`` is the number of training rows: with balanced weights their sum,
     which turns the inverse penalty C into Spark's averaged-loss penalty.
     """
+    if name not in DEFAULTS:
+        raise ValueError(f"unknown model: {name}")
     p = {**DEFAULTS[name], **(params or {})}
     stages: list = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")]
     common = {"labelCol": label, "weightCol": weight}
@@ -134,7 +136,7 @@ def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str
                 **common,
             )
         )
-    elif name == "gradient_boosting":
+    else:
         share = p.get("colsample_bytree", 1.0)
         stages.append(
             GBTClassifier(
@@ -149,8 +151,6 @@ def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str
                 **common,
             )
         )
-    else:
-        raise ValueError(f"unknown model: {name}")
     return Pipeline(stages=stages)
 
 

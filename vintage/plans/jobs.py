@@ -4,14 +4,16 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping, Sequence
+from dataclasses import replace
 from functools import reduce
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from vintage.operators import clean, evaluate, features, profile, score, split, train
-from vintage.sources.tables import cut_lineage, write_split
-from vintage.spec import LoanSpec
+from vintage.sources.tables import cut_lineage, model_features, write_split
+from vintage.spec import FieldRule, LoanSpec
 
 
 def clean_table(df: DataFrame, spec: LoanSpec = LoanSpec(), drop: Sequence[str] | None = None,
@@ -38,9 +40,7 @@ def clean_table(df: DataFrame, spec: LoanSpec = LoanSpec(), drop: Sequence[str]
         raise ValueError(f"unknown fit_on: {fit_on}")
     filled, fill_log = clean.impute(dropped, exclude=exclude, fit=basis)
     typed, type_log = clean.type_consistency(filled, [spec.date], spec.date_patterns)
-    shapes = before.sparkSession.createDataFrame(
-        [("initial", len(before.columns)), ("final", len(typed.columns))], "stage string, columns int"
-    )
+    shapes = _shape("initial", before).unionByName(_shape("final", typed))
     return typed, {
         "drops": drop_log,
         "imputation": fill_log,
@@ -50,6 +50,12 @@ def clean_table(df: DataFrame, spec: LoanSpec = LoanSpec(), drop: Sequence[str]
     }
 
 
+def _shape(stage: str, df: DataFrame) -> DataFrame:
+    return df.agg(
+        F.lit(stage).alias("stage"), F.count("*").alias("rows"), F.lit(len(df.columns)).alias("columns")
+    )
+
+
 def build_features(df: DataFrame, spec: LoanSpec = LoanSpec(), mode: str = "dev",
                    split_day: dt.date | str | None = None,
                    path: str | None = None) -> tuple[DataFrame, dict[str, DataFrame]]:
@@ -132,6 +138,40 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
     }
 
 
+def train_from_raw(raw: DataFrame, spec: LoanSpec = LoanSpec(), mode: str = "dev",
+                   **options) -> dict[str, object]:
+    """Clean, build features, fit or tune, evaluate and pick the best model.
+
+    The target and the date are not imputed: a row without either is no
+    training row.
+    """
+    cleaned, reports = clean_table(raw, spec, exclude=[spec.target, spec.date])
+    kept = tuple(c for c in spec.excluded if c not in spec.row_key)
+    made, more = build_features(cleaned, replace(spec, excluded=kept), mode)
+    result = retrain(made, spec.row_key, **options)
+    return {**result, "reports": {**reports, **more}}
+
+
+def score_applications(df: DataFrame, model: PipelineModel, rules: Sequence[FieldRule], keep: Sequence[str],
+                       ordered: Sequence[tuple[str, str]] = (("fico_range_low", "fico_range_high"),),
+                       issue: str = "issue_d") -> tuple[DataFrame, DataFrame]:
+    """Check, default, derive, align and score; (scored rows, rejected rows).
+
+    Stateless, so it takes a table or a stream. A rejected row lists its broken
+    rules, or the model features that are still NULL.
+    """
+    inputs = model_features(model)
+    checked = score.check_rules(df, rules, ordered)
+    filled = features.complete_features(score.apply_defaults(checked, rules), issue)
+    aligned = score.align(filled, inputs, [*keep, "violations"])
+    broken = F.when(F.size("violations") > 0, F.col("violations")).otherwise(
+        F.transform("null_features", lambda c: F.concat(c, F.lit(":null")))
+    )
+    judged = aligned.withColumn("violations", broken).drop("null_features")
+    scored = score.predict(score.valid_rows(judged), model, keep)
+    return scored, score.rejected_rows(judged).select(*keep, "violations")
+
+
 def validation_report(df: DataFrame, spec: LoanSpec = LoanSpec(), ongoing: Sequence[str] = (),
                       sample: DataFrame | None = None) -> DataFrame:
     """Names-based and data-based findings as (section, name, metric, value).
