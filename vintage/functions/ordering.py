@@ -26,6 +26,7 @@ EXACT_CELLS = 4_000_000
 # Up to this many rows one task may order on its own; beyond it the order is
 # split into buckets.
 SINGLE_TASK_ROWS = 1_000_000
+BROADCAST_ROWS = 500_000
 BUCKETS = 512
 ACCURACY = 10_000
 HASH_BITS = 16
@@ -55,17 +56,19 @@ def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     return found.withColumn("_bucket", F.col("_bucket").cast("int")).drop("_order")
 
 
-def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str]) -> DataFrame:
+def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str],
+                  few: bool = False) -> DataFrame:
     """Attach per-(keys, bucket) offsets; NULL keys match each other.
 
     Without keys the offsets are one row per bucket, at most 2 ** HASH_BITS, so
-    they are broadcast. With keys their number is unknown: Spark decides.
+    they are broadcast. With keys that takes a bound the caller knows (``few``);
+    else Spark decides, and the join shares its shuffle with the window after.
     """
     on = [*keys, "_bucket"]
     right = offsets.withColumnsRenamed({k: f"_off_{k}" for k in on})
     cond = [rows[k].eqNullSafe(right[f"_off_{k}"]) for k in keys]
     cond.append(rows["_bucket"] == right["_off__bucket"])
-    side = right if keys else F.broadcast(right)
+    side = F.broadcast(right) if few or not keys else right
     return rows.join(side, cond).drop(*[f"_off_{k}" for k in on])
 
 
@@ -142,12 +145,15 @@ def hash_rank(df: DataFrame, key: Sequence[str], by: Sequence[str] = (), seed: i
 
 def take_by_hash(df: DataFrame, key: Sequence[str], n: int | None = None,
                  quotas: DataFrame | None = None, by: Sequence[str] = (), seed: int = 42,
-                 bits: int = HASH_BITS) -> DataFrame:
+                 bits: int = HASH_BITS, total: int | None = None) -> DataFrame:
     """Exactly ``n`` seeded-random rows, or ``quota`` rows of each group.
 
     Buckets that start past the quota are dropped before any row is shuffled
     for ranking, so only about the sample itself is ordered.
-    ``quotas`` has one row per group: the ``by`` columns and ``quota``.
+    ``quotas`` has one row per group: the ``by`` columns and ``quota``;
+    ``total`` is their sum if known. Each kept bucket but the last of a group
+    holds a row of the sample, so there are at most ``total`` of them plus one
+    per group: below BROADCAST_ROWS they go to the rows, not the rows to them.
     """
     rows = _with_hash(df, key, seed, bits)
     offsets = _hash_offsets(rows, by).drop("_size")
@@ -156,7 +162,8 @@ def take_by_hash(df: DataFrame, key: Sequence[str], n: int | None = None,
     else:
         offsets = offsets.join(quotas.select(*by, "quota"), list(by))
     offsets = offsets.filter(F.col("_start") < F.col("quota"))
-    joined = _join_offsets(rows, offsets, by)
+    few = total is not None and total <= BROADCAST_ROWS
+    joined = _join_offsets(rows, offsets, by, few)
     w = Window.partitionBy(*by, "_bucket").orderBy("_hash", *key)
     ranked = joined.withColumn("_rank", F.col("_start") + F.row_number().over(w))
     kept = ranked.filter(F.col("_rank") <= F.col("quota"))
@@ -172,12 +179,14 @@ def exact_quantiles(
     columns: Sequence[str],
     probs: Sequence[float],
     counts: dict[str, int] | None = None,
-    limit: int = EXACT_ROWS,
+    limit: int | None = None,
 ) -> dict[str, list[float] | None]:
     """Interpolated quantiles of whole columns, a few doubles per column.
 
-    ``counts`` are non-NULL counts if the caller has them already.
+    ``counts`` are non-NULL counts if the caller has them already; ``limit``
+    overrides EXACT_ROWS.
     """
+    limit = EXACT_ROWS if limit is None else limit
     columns = list(columns)
     if not columns:
         return {}

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -18,7 +18,6 @@ from vintage.functions.columns import (
     string_columns,
 )
 from vintage.functions.ordering import (
-    EXACT_ROWS,
     exact_quantiles,
     grouped_quantiles,
     modes,
@@ -168,7 +167,7 @@ def _fill_from(df, by, stats, columns, value, dtype):
 
 
 def outliers_iqr(df: DataFrame, columns: Sequence[str] | None = None,
-                 limit: int = EXACT_ROWS) -> DataFrame:
+                 limit: int | None = None) -> DataFrame:
     """Values outside 1.5 interquartile ranges, per numeric column."""
     numeric = set(numeric_columns(df))
     columns = [c for c in columns or df.columns if c in numeric]
@@ -225,10 +224,13 @@ def outliers_zscore(df: DataFrame, columns: Sequence[str] | None = None,
 
 
 def outlier_top(report: DataFrame, k: int = 5) -> DataFrame:
-    """The ``k`` columns with most outliers, with the total over all columns."""
-    total = report.agg(F.sum("count").alias("total"))
-    top = report.orderBy(F.desc("count"), "column").limit(k)
-    return top.select("column", "count", "pct", total.scalar().alias("total_count"))
+    """The ``k`` columns with most outliers, with the total over all columns.
+
+    The report has one row per column, so a window over it is small.
+    """
+    total = F.sum("count").over(Window.partitionBy(F.lit(0)))
+    summed = report.select("column", "count", "pct", total.alias("total_count"))
+    return summed.orderBy(F.desc("count"), "column").limit(k)
 
 
 def coerce_dates(df: DataFrame, columns: Sequence[str],

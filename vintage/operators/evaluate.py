@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import ratio
@@ -232,17 +232,24 @@ def best_model(metrics: DataFrame, metric: str = "roc_auc",
     """
     if metric not in metrics.columns:
         raise ValueError(f"unknown metric: {metric}")
-    place = F.coalesce(F.array_position(F.array(*map(F.lit, order)), F.col("model")), F.lit(0)) if order else F.lit(0)
-    place = F.when(place == 0, F.lit(len(order) + 1)).otherwise(place)
-    return metrics.filter(F.col(metric).isNotNull()).orderBy(F.desc(metric), place, "model").limit(1)
+    return metrics.filter(F.col(metric).isNotNull()).orderBy(*_preference(metric, order)).limit(1)
+
+
+def _preference(metric: str, order: Sequence[str]) -> list[Column]:
+    places = [F.when(F.col("model") == name, i) for i, name in enumerate(order)]
+    place = [F.coalesce(*places, F.lit(len(order)))] if places else []
+    return [F.col(metric).desc_nulls_last(), *place, F.col("model")]
 
 
 def evaluation_summary(metrics: DataFrame, primary: str = "roc_auc",
                        order: Sequence[str] = ()) -> DataFrame:
-    """Per model: test size, its metrics, and whether it is the best one."""
-    best = best_model(metrics, primary, order).select(F.col("model").alias("best_model"))
+    """Per model: test size, its metrics, and whether it is the best one.
+
+    The window runs over one row per model.
+    """
+    place = F.row_number().over(Window.partitionBy(F.lit(0)).orderBy(*_preference(primary, order)))
     sized = metrics.withColumn("test_size", F.col("tn") + F.col("fp") + F.col("fn") + F.col("tp"))
-    return sized.withColumn("is_best", F.col("model") == best.scalar())
+    return sized.withColumn("is_best", (place == 1) & F.col(primary).isNotNull())
 
 
 def calibration(scored: DataFrame, label: str = "label", score: str = "probability",

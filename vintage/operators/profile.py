@@ -132,14 +132,14 @@ def table_stats(df: DataFrame) -> DataFrame:
 def value_distribution(df: DataFrame, column: str) -> DataFrame:
     """Count and percentage of all rows per non-NULL value, most frequent first.
 
-    NULLs form one group of the single aggregation, so the total needs no
-    second scan. The window runs over distinct values only.
+    The total is a scalar subquery over no columns at all, so it is answered
+    from file footers where the source keeps row counts.
     """
-    counts = df.groupBy(F.col(column).alias("value")).agg(F.count("*").alias("count"))
-    total = counts.agg(F.sum("count").alias("total"))
+    rows = df.select(F.col(column).alias("value")).filter("value IS NOT NULL")
+    counts = rows.groupBy("value").agg(F.count("*").alias("count"))
+    total = df.agg(F.count("*").alias("total"))
     return (
-        counts.filter(F.col("value").isNotNull())
-        .select("value", "count", percent(F.col("count"), total.scalar()).alias("pct"))
+        counts.select("value", "count", percent(F.col("count"), total.scalar()).alias("pct"))
         .orderBy(F.desc("count"), "value")
     )
 

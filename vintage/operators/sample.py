@@ -38,8 +38,10 @@ def stratified_sample(df: DataFrame, date: str, key: Sequence[str], sample_size:
                       seed: int = 42) -> DataFrame:
     """Month-proportional sample without replacement, at most ``sample_size``."""
     quotas = month_quotas(df, date, sample_size)
-    picked = take_by_hash(_months(df, date), key, quotas=quotas, by=["month"], seed=seed)
     drawn = quotas.agg(F.sum("quota")).head()[0] or 0
+    picked = take_by_hash(
+        _months(df, date), key, quotas=quotas, by=["month"], seed=seed, total=drawn
+    )
     if drawn > sample_size:
         picked = take_by_hash(picked, key, n=sample_size, seed=seed + 1)
     return picked.drop("month")

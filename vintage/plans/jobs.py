@@ -125,7 +125,7 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
             tables.append(scores)
         else:
             fitted[name] = train.fit(train_rows, name, inputs, label)
-    scored = score_models(fitted, test_rows, [*key, label])
+    scored = cut_lineage(score_models(fitted, test_rows, [*key, label]))
     metrics = evaluate.evaluate(scored, label)
     return {
         "models": fitted,
