@@ -2,7 +2,7 @@
 
 from pyspark.sql import functions as F
 
-from vintage.catalogue.base import query, rounded, table
+from vintage.catalogue.base import day_text, query, rounded, table
 from vintage.operators import clean, profile, split
 from vintage.sources import tables
 
@@ -30,9 +30,13 @@ def parquet_round_trip(spark, sf_dir):
     return _by_status(tables.read_table(spark, path, ["o_orderstatus", "o_orderkey", "o_totalprice"]))
 
 
-@query("SELECT * FROM orders ORDER BY o_orderkey LIMIT 100")
+@query(
+    """SELECT o_orderkey, o_custkey, o_totalprice, strftime(o_orderdate, '%Y-%m-%d') AS o_orderdate
+       FROM orders ORDER BY o_orderkey LIMIT 100"""
+)
 def first_rows(spark, sf_dir):
-    return tables.first_rows(table(spark, sf_dir, "orders"), 100, ["o_orderkey"])
+    first = tables.first_rows(table(spark, sf_dir, "orders"), 100, ["o_orderkey"])
+    return day_text(first.drop("o_orderstatus", "o_orderpriority"), "o_orderdate")
 
 
 @query('SELECT CAST(year(o_orderdate) AS INTEGER) AS year, COUNT(*) AS "rows" FROM orders GROUP BY 1')

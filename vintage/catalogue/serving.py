@@ -202,6 +202,22 @@ def alerts(spark, sf_dir):
     return rounded(monitor.alerts(request_log(spark, sf_dir)), ["error_rate", "p95_seconds"])
 
 
+@query(
+    f"""WITH {LOG_SQL}, a AS (SELECT method || ' ' || endpoint AS subject, CAST(COUNT(*) FILTER (status >= 400) AS DOUBLE) / COUNT(*) AS e,
+          quantile_cont(duration, 0.95) AS p FROM r GROUP BY 1),
+        z AS (SELECT MAX(abs((value - m) / s)) AS z FROM r, (SELECT AVG(value) AS m, stddev_samp(value) AS s FROM r WHERE ts < TIMESTAMP '2024-01-15')
+              WHERE ts >= TIMESTAMP '2024-01-15')
+        SELECT subject, 'error_rate' AS alert, ROUND(e, 6) AS value FROM a WHERE e > 0.05
+        UNION ALL SELECT subject, 'p95_latency', ROUND(p, 6) FROM a WHERE p > 1.0
+        UNION ALL SELECT 'value', 'drift', ROUND(z, 6) FROM z WHERE z > 3"""
+)
+def firing_alerts(spark, sf_dir):
+    log = request_log(spark, sf_dir)
+    early, late = (log.filter(f"ts {op} TIMESTAMP_NTZ '2024-01-15'") for op in ("<", ">="))
+    moved = monitor.drift(late, monitor.reference_stats(early, ["value"]), ["value"])
+    return rounded(monitor.firing(monitor.alerts(log), moved), ["value"])
+
+
 # Streams read the events table file by file until it is used up. In complete
 # mode the last state equals the batch result, which is what SQL computes.
 

@@ -53,7 +53,10 @@ def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     found = Bucketizer(
         splits=[-math.inf, *cuts, math.inf], inputCol="_order", outputCol="_bucket", handleInvalid="keep"
     ).transform(keyed)
-    return found.withColumn("_bucket", F.col("_bucket").cast("int")).drop("_order")
+    # Never NULL, or the join below would push a NULL filter into one of its two
+    # readers of the groups and keep Spark from sharing their shuffle.
+    bucket = F.coalesce(F.col("_bucket").cast("int"), F.lit(-1))
+    return found.withColumn("_bucket", bucket).drop("_order")
 
 
 def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str],
@@ -127,7 +130,8 @@ def _hash_offsets(rows: DataFrame, by: Sequence[str]) -> DataFrame:
 
 def _with_hash(df: DataFrame, key: Sequence[str], seed: int, bits: int) -> DataFrame:
     hashed = df.withColumn("_hash", row_hash(df, key, seed))
-    return hashed.withColumn("_bucket", F.shiftright("_hash", 64 - bits))
+    bucket = F.shiftright("_hash", 64 - bits) if bits else F.lit(0).cast("long")
+    return hashed.withColumn("_bucket", bucket)
 
 
 def hash_rank(df: DataFrame, key: Sequence[str], by: Sequence[str] = (), seed: int = 42,

@@ -185,7 +185,8 @@ def evaluate(scored: DataFrame, label: str = "label", score: str = "probability"
     """All metrics of every group: one row per model (or segment).
 
     Predictions are tallied per distinct score together with the labels, so a
-    single shuffle serves the ranking and the threshold metrics.
+    single shuffle serves the ranking and the threshold metrics. Running totals
+    and bucket totals ask for the same columns, which lets Spark reuse it.
     """
     rows = scored.filter(F.col(score).isNotNull() & F.col(label).isNotNull()).select(
         *by,
@@ -201,16 +202,17 @@ def evaluate(scored: DataFrame, label: str = "label", score: str = "probability"
         F.sum(p * (1 - y)).alias("alarms"),
     )
     ranked = running_totals(
-        groups, "score", ["pos", "neg"], by=by, descending=True, cuts=cut_points(rows, "score")
+        groups, "score", ["pos", "neg", "hits", "alarms"], by=by, descending=True,
+        cuts=cut_points(rows, "score"),
     ).withColumnsRenamed(
         {"cum_pos": "tp", "cum_neg": "fp", "all_pos": "positives", "all_neg": "negatives"}
     )
     summed = ranked.groupBy(*by).agg(
         *areas(),
-        F.sum("neg").alias("_n"),
-        F.sum("pos").alias("_m"),
-        F.sum("hits").alias("_tp"),
-        F.sum("alarms").alias("_fp"),
+        F.max("negatives").alias("_n"),
+        F.max("positives").alias("_m"),
+        F.max("cum_hits").alias("_tp"),
+        F.max("cum_alarms").alias("_fp"),
     )
     counts = summed.select(
         *by,

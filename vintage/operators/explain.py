@@ -18,6 +18,10 @@ from vintage.operators.score import positive_probability
 from vintage.sources.tables import cut_lineage, model_features
 
 
+# A background of up to this many numbers (16 MB) is sent to every executor.
+BROADCAST_CELLS = 2_000_000
+
+
 def linear_attribution(df: DataFrame, background: DataFrame, key: Sequence[str],
                        coefficients: Mapping[str, float],
                        scale: Mapping[str, float] | None = None,
@@ -77,8 +81,8 @@ def permutation_attribution(model: PipelineModel, df: DataFrame, background: Dat
     Along each feature order a background row turns into the explained row one
     feature at a time; a feature's share is the mean change it causes. Per row
     the shares add up to value - base exactly. All hybrid rows are scored in
-    one distributed transform and summed on the map side; ``background`` is
-    numbered by hash and each (row, order) looks up one of its rows.
+    one distributed transform and summed on the map side. ``background`` is
+    numbered by hash, counted, and each (row, order) looks up one of its rows.
     """
     features = model_features(model)
     d = len(features)
@@ -107,7 +111,8 @@ def permutation_attribution(model: PipelineModel, df: DataFrame, background: Dat
     )
     rows = df.select(*key, vector.alias("_x"), F.inline(orders))
     rows = rows.withColumn("_pick", F.pmod(F.xxhash64(*key, "order_id"), F.lit(size)) + 1)
-    paired = rows.join(pool, rows["_pick"] == pool["_pool"])
+    side = F.broadcast(pool) if size * d <= BROADCAST_CELLS else pool
+    paired = rows.join(side, F.col("_pick") == F.col("_pool"))
     steps = paired.withColumn("step", F.explode(F.sequence(F.lit(0), F.lit(d))))
     hybrid = F.transform(
         F.sequence(F.lit(0), F.lit(d - 1)),

@@ -134,6 +134,23 @@ def prediction_counts(predictions: DataFrame, by: Sequence[str] = ()) -> DataFra
     return predictions.groupBy(*by, "prediction").agg(F.count("*").alias("predictions"))
 
 
+def firing(endpoint_alerts: DataFrame, drift_checks: DataFrame,
+           by: Sequence[str] = ("method", "endpoint")) -> DataFrame:
+    """The alerts that fire, one row each: alert, subject, value."""
+    subject = F.concat_ws(" ", *by)
+    kinds = F.array_compact(
+        F.array(
+            F.when(F.col("error_alert"), F.struct(F.lit("error_rate").alias("alert"), F.col("error_rate").alias("value"))),
+            F.when(F.col("latency_alert"), F.struct(F.lit("p95_latency").alias("alert"), F.col("p95_seconds").alias("value"))),
+        )
+    )
+    service = endpoint_alerts.select(subject.alias("subject"), F.inline(kinds))
+    moved = drift_checks.filter("drifted").select(
+        F.col("feature").alias("subject"), F.lit("drift").alias("alert"), F.col("z_score").alias("value")
+    )
+    return service.unionByName(moved)
+
+
 def alerts(log: DataFrame, by: Sequence[str] = ("method", "endpoint"),
            max_error_rate: float = 0.05, max_p95_seconds: float = 1.0) -> DataFrame:
     """Error-rate and exact p95 latency alerts per endpoint."""

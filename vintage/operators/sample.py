@@ -8,7 +8,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.columns import date_of
-from vintage.functions.ordering import take_by_hash
+from vintage.functions.ordering import HASH_BITS, take_by_hash
+
+# Aim for hash buckets of about this many rows when the table size is known.
+ROWS_PER_BUCKET = 50_000
 
 
 def _months(df: DataFrame, date: str) -> DataFrame:
@@ -38,9 +41,11 @@ def stratified_sample(df: DataFrame, date: str, key: Sequence[str], sample_size:
                       seed: int = 42) -> DataFrame:
     """Month-proportional sample without replacement, at most ``sample_size``."""
     quotas = month_quotas(df, date, sample_size)
-    drawn = quotas.agg(F.sum("quota")).head()[0] or 0
+    rows, drawn = quotas.agg(F.sum("rows"), F.sum("quota")).head()
+    rows, drawn = rows or 0, drawn or 0
+    bits = min(HASH_BITS, (rows // ROWS_PER_BUCKET).bit_length())
     picked = take_by_hash(
-        _months(df, date), key, quotas=quotas, by=["month"], seed=seed, total=drawn
+        _months(df, date), key, quotas=quotas, by=["month"], seed=seed, bits=bits, total=drawn
     )
     if drawn > sample_size:
         picked = take_by_hash(picked, key, n=sample_size, seed=seed + 1)

@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from vintage.functions.ordering import hash_rank
 from vintage.operators.evaluate import evaluate
 from vintage.operators.score import positive_probability
+from vintage.sources.tables import use_shared_checkpoints
 
 # --- fixed values: parameter grids and defaults of the published runs --------
 GRIDS: dict[str, dict[str, list]] = {
@@ -162,7 +163,11 @@ def weight_for(name: str, label: str, negatives: int, positives: int) -> Column:
 def fit(df: DataFrame, name: str, features: Sequence[str], label: str = "label",
         params: Mapping[str, Any] | None = None, seed: int = 42,
         counts: tuple[int, int] | None = None) -> PipelineModel:
-    """Fit one model with its class weighting."""
+    """Fit one model with its class weighting.
+
+    Boosting checkpoints its growing lineage every ten rounds.
+    """
+    use_shared_checkpoints(df.sparkSession)
     neg, pos = counts or class_counts(df, label)
     weighted = sized(df, neg + pos).withColumn("_weight", weight_for(name, label, neg, pos))
     return estimator(name, features, neg + pos, params, label, seed=seed).fit(weighted)

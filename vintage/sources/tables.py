@@ -142,12 +142,16 @@ def shared_folder(spark: SparkSession) -> str:
     return made
 
 
+def use_shared_checkpoints(spark: SparkSession) -> None:
+    """Let checkpoints, also those inside iterative fits, go to that folder."""
+    folder = shared_folder(spark)
+    if spark.sparkContext.getCheckpointDir() is None:
+        spark.sparkContext.setCheckpointDir(folder)
+
+
 def cut_lineage(df: DataFrame) -> DataFrame:
     """Reliable checkpoint: later stages restart from files, not from the source."""
-    context = df.sparkSession.sparkContext
-    folder = shared_folder(df.sparkSession)
-    if context.getCheckpointDir() is None:
-        context.setCheckpointDir(folder)
+    use_shared_checkpoints(df.sparkSession)
     return df.checkpoint()
 
 
