@@ -16,7 +16,6 @@ from vintage.catalogue.base import (
 )
 from vintage.operators import clean, monitor, score
 from vintage.sources.tables import scratch_path
-from vintage.spec import FieldRule
 from vintage.streaming import requests as streams
 
 _RULES = [r for r in score.application_rules() if r.name in {"loan_amnt", "int_rate", "installment", "annual_inc", "dti", "fico_range_low", "fico_range_high"}]

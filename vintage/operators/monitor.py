@@ -33,16 +33,22 @@ def reference_stats(df: DataFrame, features: Sequence[str]) -> DataFrame:
 
 def feature_extremes(df: DataFrame, features: Sequence[str],
                      by: Sequence[str] = ()) -> DataFrame:
-    """Smallest and largest value per feature (and group), ignoring NULLs."""
-    structs = [
-        F.struct(
-            F.lit(c).alias("feature"),
-            F.min(F.col(c).cast("double")).alias("low"),
-            F.max(F.col(c).cast("double")).alias("high"),
-        )
-        for c in features
-    ]
-    return long_rows(df, structs, by=by)
+    """Smallest and largest value per feature (and group), ignoring NULLs.
+
+    A stream keeps all features in one aggregation, hence in one state.
+    """
+    parts = []
+    for batch in [features] if df.isStreaming else batches(features):
+        structs = [
+            F.struct(
+                F.lit(c).alias("feature"),
+                F.min(F.col(c).cast("double")).alias("low"),
+                F.max(F.col(c).cast("double")).alias("high"),
+            )
+            for c in batch
+        ]
+        parts.append(long_rows(df, structs, by=by))
+    return _union(parts)
 
 
 def drift(df: DataFrame, reference: DataFrame, features: Sequence[str],

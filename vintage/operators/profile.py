@@ -301,8 +301,16 @@ def schema_consistency(tables: Mapping[str, DataFrame]) -> DataFrame:
             for name, df in tables.items()
         ],
     )
-    structs = [F.struct(F.lit(c).alias("column"), F.count(c).alias("filled")) for c in typed]
-    per_table = long_rows(stacked, structs, by=["_table"])
+    per_table = _union(
+        [
+            long_rows(
+                stacked,
+                [F.struct(F.lit(c).alias("column"), F.count(c).alias("filled")) for c in batch],
+                by=["_table"],
+            )
+            for batch in batches(list(typed))
+        ]
+    )
     declared = F.create_map(*[F.lit(v) for c, t in typed.items() for v in (c, len(t))])
     return per_table.groupBy("column").agg(
         F.count_if(F.col("filled") > 0).alias("tables_present"),

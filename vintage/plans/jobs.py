@@ -8,7 +8,7 @@ from dataclasses import replace
 from functools import reduce
 
 from pyspark.ml import PipelineModel
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.operators import clean, evaluate, features, profile, score, split, train
@@ -112,9 +112,13 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
 
     Returns the fitted models and the metric, best-model and search tables.
     The feature table is cut from its lineage once: every fit reads it again.
+    Models take no NULLs; rows that have one are counted in ``left_out``.
     """
     inputs = list(inputs or features.model_inputs(df, label, key))
-    table = cut_lineage(df.select(*key, label, side, *inputs).dropna(subset=inputs))
+    whole = cut_lineage(df.select(*key, label, side, *inputs))
+    table = whole.dropna(subset=inputs)
+    gaps = reduce(Column.__or__, [F.col(c).isNull() for c in inputs])
+    left_out = whole.groupBy(side).agg(F.count("*").alias("rows"), F.count_if(gaps).alias("left_out"))
     train_rows = table.filter(F.col(side) == "train")
     test_rows = table.filter(F.col(side) == "test")
     tables = []
@@ -130,6 +134,7 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
     return {
         "models": fitted,
         "features": inputs,
+        "left_out": left_out,
         "scored": scored,
         "metrics": metrics,
         "summary": evaluate.evaluation_summary(metrics, metric, models),

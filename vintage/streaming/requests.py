@@ -6,7 +6,7 @@ checked.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping, Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
@@ -16,7 +16,6 @@ from pyspark.sql import types as T
 from vintage.functions.columns import nan_to_null
 from vintage.operators.monitor import drift_from_extremes, feature_extremes, request_aggregates
 from vintage.operators.score import align, predict
-from vintage.sources.tables import scratch_path
 
 
 def stream_table(spark: SparkSession, path: str, files_per_batch: int = 1000) -> DataFrame:
@@ -104,12 +103,3 @@ def run_available(stream: DataFrame, path: str, mode: str = "complete",
     query.awaitTermination()
     written = spark.read.parquet(path)
     return written if mode == "complete" else written.drop("batch")
-
-
-def scratch_table(spark: SparkSession, name: str) -> str:
-    return scratch_path(spark, name)
-
-
-def rename_request_columns(events: DataFrame, columns: Mapping[str, str]) -> DataFrame:
-    """Any event table as a request log: name -> SQL expression."""
-    return events.select(*[F.expr(e).alias(n) for n, e in columns.items()])
