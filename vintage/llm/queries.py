@@ -4,10 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintage.llm import tokens
+from vintage.llm import language, simhash, tokens
 from vintage.llm.common import load
 
 
+def op1_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    trees = language.fit(docs.where(~language.held_out()))
+    return language.predict(docs, trees).select("doc_id", language.held_out().alias("held_out"), "lang_pred", "score")
+
+
+def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", "fingerprint", "component_id")
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -16,6 +27,8 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_language": op1_language,
+    "op2_simhash": op2_simhash,
     "op5_bpe": op5_bpe,
 }
 
