@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -15,7 +15,7 @@ from vintage.llm.common import arrow_schema, bounded_batches, partitions, ragged
 
 #: Bytes of text in a chunk of documents, and words in a bucket of the word table (by bytes of text that feed it).
 CHUNK_BYTES = 8 << 20
-BUCKET_BYTES = 16 << 20
+BUCKET_BYTES = 8 << 20
 
 # The byte-level splitting pattern, spelled out for code points below U+0180.
 _LETTERS = "A-Za-zªµºÀ-ÖØ-öø-ſ"
@@ -86,7 +86,7 @@ def _bucket_of(words: list[str], buckets: int) -> np.ndarray:
     return np.fromiter((zlib.crc32(w.encode()) % buckets for w in words), np.int64, len(words))
 
 
-def _by_bucket(words: set[str], buckets: int) -> list[list[str]]:
+def _by_bucket(words: Iterable[str], buckets: int) -> list[list[str]]:
     """The distinct words of a chunk by bucket, each list in order."""
     ordered = sorted(words)
     at = _bucket_of(ordered, buckets)
@@ -150,9 +150,7 @@ def encode_decode(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFr
     )
 
     def chunk_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import zstandard
-
-        codec, z, found = Codec(tokenizer), zstandard.ZstdDecompressor(), {}
+        (codec, z), found = _worker_codec(tokenizer), {}
         for b in batches:
             for chunk, packed in zip(b.column(0).to_pylist(), b.column(2).to_pylist(), strict=True):
                 found.setdefault(chunk, set()).update(codec.split(z.decompress(packed).decode()))
@@ -166,10 +164,12 @@ def encode_decode(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFr
     def encode_words(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         import zstandard
 
-        codec, z, known = Codec(tokenizer), zstandard.ZstdCompressor(level=1), {}
+        codec, z, known, now = _worker_codec(tokenizer)[0], zstandard.ZstdCompressor(level=1), {}, None
         schema = arrow_schema(_IDS)
         for b in batches:
             for bucket, chunk, blob in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if bucket != now:
+                    known, now = {}, bucket
                 words = _unpack(blob)
                 fresh = [w for w in words if w not in known]
                 for k in range(0, len(fresh), 5000):
@@ -181,31 +181,34 @@ def encode_decode(docs: DataFrame, tokenizer: str, keep: bool = False) -> DataFr
                 packed = z.compress(lengths + b"".join(got))
                 yield pa.RecordBatch.from_arrays([pa.array([x], f.type) for x, f in zip((chunk, bucket, packed), schema, strict=True)], schema=schema)
 
-    encoded = dealt.mapInArrow(chunk_words, _WORDS).repartition(buckets, "bucket").mapInArrow(encode_words, _IDS).repartition(chunks, "chunk")
+    encoded = dealt.mapInArrow(chunk_words, _WORDS).repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(encode_words, _IDS).repartition(chunks, "chunk")
 
     def join_back(texts: pa.Table, tables: pa.Table) -> pa.Table:
-        import zstandard
-
         codec, z = _worker_codec(tokenizer)
         piece_bytes, piece_start, piece_len = codec.table
-        split = [codec.split(z.decompress(p).decode()) for p in texts.column("packed").to_pylist()]
-        lists = _by_bucket(set().union(*split), buckets) if split else []
-        index: dict[str, int] = {}
-        flat, lens = [], []
+        number: dict[str, int] = {}  # one string for each distinct word, not for each position
+        positions = [
+            np.array([number.setdefault(w, len(number)) for w in codec.split(z.decompress(p).decode())], np.int32)
+            for p in texts.column("packed").to_pylist()
+        ]
+        lists = _by_bucket(number, buckets)
+        order, flat, lens = [np.empty(0, np.int64)], [np.empty(0, np.uint32)], [np.empty(0, np.int64)]
         for bucket, blob in sorted(zip(tables.column("bucket").to_pylist(), tables.column("ids").to_pylist(), strict=True)):
-            words = lists[bucket]
+            words, lists[bucket] = lists[bucket], []
             raw = np.frombuffer(z.decompress(blob), np.uint32)
             n = raw[: len(words)].astype(np.int64)
             if int(n.sum()) + len(words) != len(raw):
                 raise ValueError("a chunk's words do not fit the ids that came back")
-            index.update(zip(words, range(len(index), len(index) + len(words)), strict=True))
+            order.append(np.fromiter(map(number.__getitem__, words), np.int64, len(words)))
             lens.append(n)
             flat.append(raw[len(words) :])
-        lengths = np.concatenate([*lens, np.empty(0, np.int64)])
-        ids_flat, starts = np.concatenate([*flat, np.empty(0, np.uint32)]), np.cumsum(lengths) - lengths
+        ids_flat, came = np.concatenate(flat), np.concatenate(lens)
+        lengths, starts = np.zeros(len(number), np.int64), np.zeros(len(number), np.int64)
+        lengths[np.concatenate(order)], starts[np.concatenate(order)] = came, np.cumsum(came) - came
+        del number, lists
         out: dict[str, list] = {f.name: [] for f in arrow_schema(OUT)}
-        for doc_id, words in zip(texts.column("doc_id").to_pylist(), split, strict=True):
-            ids = ragged_take(ids_flat, starts, lengths, np.fromiter(map(index.__getitem__, words), np.int64, len(words)))
+        for doc_id, at in zip(texts.column("doc_id").to_pylist(), positions, strict=True):
+            ids = ragged_take(ids_flat, starts, lengths, at)
             decoded = ragged_take(piece_bytes, piece_start, piece_len, ids.astype(np.int64)).tobytes()
             text = decoded.decode("utf-8", "replace")
             out["doc_id"].append(doc_id)
