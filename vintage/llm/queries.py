@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintage.llm import language, simhash, tokens
+from vintage.llm import language, simhash, suffixes, tokens
 from vintage.llm.common import load
 
 
@@ -26,10 +26,16 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cleaned = suffixes.remove_repeats(load(spark, sf_dir, "documents"))
+    return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op5_bpe": op5_bpe,
+    "op8_suffix_dedup": op8_suffix_dedup,
 }
 
 ORACLES: dict[str, str] = {}
