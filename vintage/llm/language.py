@@ -113,8 +113,8 @@ class ContextTrees:
         return totals, sizes
 
 
-def context_trees(rows: list[tuple[str, int, int]], table_bytes: int = TABLE_BYTES) -> ContextTrees:
-    """Build the trees from gram counts.
+def context_trees(names: np.ndarray, grams: np.ndarray, counts: np.ndarray, table_bytes: int = TABLE_BYTES) -> ContextTrees:
+    """Build the trees from counts of grams by language.
 
     In a context that n symbols followed, t of them distinct, a symbol seen c times has
     probability c / (n + t); t / (n + t) escapes to the context one byte shorter, where
@@ -123,13 +123,10 @@ def context_trees(rows: list[tuple[str, int, int]], table_bytes: int = TABLE_BYT
     what it would alone. The contexts kept are the most frequent over all languages
     that fit table_bytes; a rarer one is coded as its longest suffix that is kept.
     """
-    if not rows:
+    if not len(grams):
         return ContextTrees([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
-    langs = sorted({r[0] for r in rows})
-    of = {name: k for k, name in enumerate(langs)}
-    lang = np.array([of[r[0]] for r in rows], np.int64)
-    gram = np.array([r[1] for r in rows], np.int64)
-    n = np.array([r[2] for r in rows], np.float64)
+    names, lang = np.unique(names, return_inverse=True)
+    langs, gram, n = names.tolist(), grams.astype(np.int64), counts.astype(np.float64)
     quad = np.stack([(gram >> s) & 255 for s in (24, 16, 8, 0)], 1)
     seen = np.unique(quad)
     a = len(seen) + 1
@@ -140,37 +137,38 @@ def context_trees(rows: list[tuple[str, int, int]], table_bytes: int = TABLE_BYT
     weight[-1] = max(1, 256 - len(seen))
     room = max(1, table_bytes // (4 * a * max(1, len(langs))))
 
-    # The contexts kept, by length: the empty one, then the most frequent ones while they fit.
-    frequency: dict[tuple[int, int], float] = {}
+    # The contexts kept: the empty one, then the most frequent ones while they fit. One is kept
+    # only if the one that it escapes to is, for that one is shorter and at least as frequent.
+    found = []
     for length in range(1, DEPTH + 1):
         keys, at = np.unique(_context(quad, length, a), return_inverse=True)
-        frequency |= {(length, int(k)): f for k, f in zip(keys, np.bincount(at, n), strict=True)}
-    ordered = sorted(frequency, key=lambda x: (-frequency[x], x))[: room - 1]
-    row = {(0, 0): 0} | {x: k for k, x in enumerate(ordered, 1)}
-    # A context is kept only if the one that it escapes to is; that one is at least as frequent.
-    bits = np.zeros((len(row), a, len(langs)), np.float32)
+        found.append((np.full(len(keys), length), keys, np.bincount(at, n)))
+    lengths, keys, frequency = (np.concatenate(x) for x in zip(*found, strict=True))
+    top = np.lexsort((keys, lengths, -frequency))[: room - 1]
+    kept = {0: (np.zeros(1, np.int64), np.zeros(1, np.int64))}  # by length: contexts in order, and their rows
+    for length in range(1, DEPTH + 1):
+        rank = np.flatnonzero(lengths[top] == length)
+        order = np.argsort(keys[top[rank]])
+        kept[length] = keys[top[rank]][order], rank[order] + 1
+    size = len(top) + 1
+    bits = np.zeros((size, a, len(langs)), np.float32)
     for k in range(len(langs)):
         own = lang == k
-        p = np.zeros((len(row), a))
-        shorter = np.full(a, 1 / 256)
+        p = np.zeros((size, a))
         for length in range(DEPTH + 1):
-            members = [(key, r) for (m, key), r in row.items() if m == length]
-            if not members:
+            keys, target = kept[length]
+            if not len(keys):
                 continue
-            keys = np.array([m[0] for m in members], np.int64)
-            target = np.array([m[1] for m in members], np.int64)
-            order = np.argsort(keys)
-            keys, target = keys[order], target[order]
             count = np.zeros((len(keys), a))
             ctx = _context(quad[own], length, a)
             at = np.searchsorted(keys, ctx)
             hit = (at < len(keys)) & (keys[np.minimum(at, len(keys) - 1)] == ctx)
             np.add.at(count, (at[hit], quad[own][hit, 3]), n[own][hit])
             if length:
-                parents = np.array([row[(length - 1, int(x % a ** (length - 1)))] for x in keys], np.int64)
-                base = p[parents]
+                shorter_keys, shorter_rows = kept[length - 1]
+                base = p[shorter_rows[np.searchsorted(shorter_keys, keys % a ** (length - 1))]]
             else:
-                base = np.broadcast_to(shorter, count.shape)
+                base = np.full(count.shape, 1 / 256)
             t = (count > 0).sum(1, keepdims=True)
             total = count.sum(1, keepdims=True)
             left = ((count == 0) * base * weight).sum(1, keepdims=True)
@@ -183,12 +181,10 @@ def context_trees(rows: list[tuple[str, int, int]], table_bytes: int = TABLE_BYT
     grid = np.arange(a**3)
     for length in range(1, DEPTH + 1):
         lookup = np.full(a**length, -1, np.int32)
-        for (m, key), r in row.items():
-            if m == length:
-                lookup[key] = r
+        lookup[kept[length][0]] = kept[length][1]
         found = lookup[grid % a**length]
         node[found >= 0] = found[found >= 0]
-    return ContextTrees(langs, symbol, node, bits.reshape(len(row) * a, len(langs)))
+    return ContextTrees(langs, symbol, node, bits.reshape(size * a, len(langs)))
 
 
 def _context(quad: np.ndarray, length: int, a: int) -> np.ndarray:
@@ -213,8 +209,10 @@ def fit(docs: DataFrame, lang: str = "lang", max_grams: int = MAX_GRAMS) -> Cont
         if room < 0:
             least = 2 ** ((r["size"] + 1) / 4)
             break
-    rows = counts.where(F.col("n") >= least).toPandas()
-    return context_trees(list(zip(rows["lang"].tolist(), rows["gram"].tolist(), rows["n"].tolist(), strict=True)))
+    rows = counts.where(F.col("n") >= least).toArrow()
+    coded = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else None
+    names = np.array(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if rows.num_rows else np.empty(0, str)
+    return context_trees(names, rows.column("gram").to_numpy(), rows.column("n").to_numpy())
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:
