@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintage.llm import language, simhash, suffixes, tokens
+from vintage.llm import language, neighbours, simhash, suffixes, tokens
 from vintage.llm.common import load
 
 
@@ -31,11 +31,17 @@ def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
 
 
+def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = load(spark, sf_dir, "embeddings")
+    return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op5_bpe": op5_bpe,
     "op8_suffix_dedup": op8_suffix_dedup,
+    "op9_neighbours": op9_neighbours,
 }
 
 ORACLES: dict[str, str] = {}
