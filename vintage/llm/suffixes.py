@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import hashlib
+import zlib
 from collections.abc import Iterable, Iterator
 from functools import lru_cache
 
@@ -11,7 +12,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import PASS_BYTES, arrow_schema, batch_of, bounded_batches, cut, mix64, partitions, runs, text_bytes
+from vintage.llm.common import PASS_BYTES, arrow_schema, batch_of, bounded_batches, cut, mix64, partitions, ragged_take, runs, text_bytes
 
 #: Bytes of a suffix that one digit of the first pass holds.
 DIGIT = 32
@@ -22,15 +23,20 @@ BUCKET_BYTES = 16 << 20
 #: digit from which on a task sends the suffixes straight to the last pass.
 FLUSH = 400_000
 HOT = 64
+#: Different surroundings of one digit that one task of the last pass compares; digits with
+#: more are dealt by whole windows. Suffixes whose windows such a task holds at once.
+GROUP = 1024
+SLAB = 16_384
 
 _PACKED = "kind int, target int, blob binary"
 _DOCS = "chunk int, doc_id long, sub int, packed binary"
 OUT = "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string, spans array<long>, kept binary"
-COVER, OPEN, DIGITS, WINDOWS, RUNS = range(5)
+COVER, OPEN, HOT_OPEN, DIGITS, AROUND, WINDOWS, RUNS = range(7)
 #: Columns of a packed table: suffix digits are two hashes, a place is chunk, doc_id, sub and position.
 _PLACE = (("chunk", "<i4"), ("doc", "<i8"), ("sub", "<i4"), ("at", "<u4"))
 _HASHED = (("a", "<u8"), ("b", "<u8"), *_PLACE)
 _RUN = (*_PLACE, ("n", "<u4"))
+_AROUND = (*_PLACE, ("left", "<u1"), ("size", "<u1"))
 
 
 @lru_cache(maxsize=2)
@@ -230,8 +236,10 @@ def remove_repeats(docs: DataFrame, width: int = 100, keep: bool = False, hot: i
     Pass 2. In a group with one surrounding (all bytes of all windows around the digit)
     every suffix but the first is covered. Of groups with several surroundings the first
     of each goes on.
-    Pass 3. All windows around those are grouped by the hash of all their bytes, again
-    the first of each task; all but the first are covered.
+    Pass 3. Those are dealt by their digit again, with the bytes around them, and all
+    windows in these are grouped by all their bytes; all but the first are covered. Where
+    a digit has over hot surroundings in a task or GROUP in all, the windows themselves
+    are dealt instead, of each task the first of its kind, so no group lands in one task.
 
     docs: doc_id, text, any others. A NULL text counts as empty. Texts are UTF-8 bytes,
     of any length, and matches never cross texts. A NULL doc_id comes before all others.
@@ -240,8 +248,8 @@ def remove_repeats(docs: DataFrame, width: int = 100, keep: bool = False, hot: i
     empty table gives none. Equality is that of 128 hashed bits. Returns OUT; spans holds
     starts and ends in turn, kept the remaining bytes (NULL unless keep).
     """
-    if width < 2 * DIGIT:
-        raise ValueError(f"width must be {2 * DIGIT} at least")
+    if not 2 * DIGIT <= width <= 140:
+        raise ValueError(f"width must lie between {2 * DIGIT} and 140")
     spark = docs.sparkSession
     bounded_batches(spark)
     total = text_bytes(docs)
@@ -266,16 +274,17 @@ def remove_repeats(docs: DataFrame, width: int = 100, keep: bool = False, hot: i
     def second_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         blobs = []
         for b in batches:
-            own = np.array(b.column(0).to_pylist()) == DIGITS
+            own = np.array(b.column(0).to_pylist(), np.int64) == DIGITS
             blobs += b.column(2).filter(pa.array(own)).to_pylist()
             yield b.filter(pa.array(~own))
         if blobs:
             columns, first = _first_of(_unpack(blobs, _HASHED))
             mark = columns[5] == 2**32 - 1
             starts, ends = runs(columns[0])
-            several = np.add.reduceat(_changes(columns) + 2 * mark, starts) > 1
+            different = np.repeat(np.add.reduceat(_changes(columns) + GROUP * mark, starts), ends - starts)
             yield from _places(columns, ~first, COVER)
-            yield from _places(columns, first & ~mark & np.repeat(several, ends - starts), OPEN)
+            yield from _places(columns, first & ~mark & (different > 1) & (different <= GROUP), OPEN)
+            yield from _places(columns, first & ~mark & (different > GROUP), HOT_OPEN)
 
     met = cut(keyed.mapInArrow(first_pass, _PACKED).repartition(buckets, "target").mapInArrow(second_pass, _PACKED))
 
@@ -305,37 +314,50 @@ def remove_repeats(docs: DataFrame, width: int = 100, keep: bool = False, hot: i
         import zstandard
 
         z, out = zstandard.ZstdDecompressor(), []
-        places = _unpack(found.column("blob").to_pylist(), _PLACE)
-        rows = by_document(places)
-        done, size = [], 0
+        blobs = list(zip(found.column("kind").to_pylist(), found.column("blob").to_pylist(), strict=True))
+        open_, hot_open = (_unpack([b for k, b in blobs if k == kind], _PLACE) for kind in (OPEN, HOT_OPEN))
+        rows, hot_rows = by_document(open_), by_document(hot_open)
+        around, done, size = [], [], 0
         for chunk, doc, sub, packed in zip(*(c.to_pylist() for c in texts.columns[:4]), strict=True):
-            if (own := rows.pop((doc, sub), None)) is None:
+            own, hot_own = rows.pop((doc, sub), None), hot_rows.pop((doc, sub), None)
+            if own is None and hot_own is None:
                 continue
-            s, a, b = _windows_near(z.decompress(packed), places[3][own].astype(np.int64), width)
-            done.append((a, b, *(np.full(len(s), x, np.int64) for x in (chunk, doc, sub)), s))
-            size += len(s)
-            if size > FLUSH:
-                out += _send_windows([np.concatenate(c) for c in zip(*done, strict=True)], buckets)
-                done, size = [], 0
+            raw = z.decompress(packed)
+            if own is not None:
+                for p in open_[3][own].tolist():
+                    left = min(p, width - DIGIT)
+                    around.append((zlib.crc32(raw[p : p + DIGIT]), chunk, doc, sub, p, left, raw[p - left : p + width]))
+            if hot_own is not None:
+                s, a, b = _windows_near(raw, hot_open[3][hot_own].astype(np.int64), width)
+                done.append((a, b, *(np.full(len(s), x, np.int64) for x in (chunk, doc, sub)), s))
+                size += len(s)
+                if size > FLUSH:
+                    out += _send_windows([np.concatenate(c) for c in zip(*done, strict=True)], buckets)
+                    done, size = [], 0
         if done:
             out += _send_windows([np.concatenate(c) for c in zip(*done, strict=True)], buckets)
+        out += _send_around(around, buckets)
         return pa.Table.from_batches(out, arrow_schema(_PACKED))
 
     def last_pass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blobs = []
+        blobs: dict[int, list[bytes]] = {AROUND: [], WINDOWS: []}
         for b in batches:
-            own = np.array(b.column(0).to_pylist()) == WINDOWS
-            blobs += b.column(2).filter(pa.array(own)).to_pylist()
-            yield b.filter(pa.array(~own))
-        if blobs:
-            columns, first = _first_of(_unpack(blobs, _HASHED))
+            kinds = np.array(b.column(0).to_pylist(), np.int64)
+            for kind, own in blobs.items():
+                own += b.column(2).filter(pa.array(kinds == kind)).to_pylist()
+            yield b.filter(pa.array(kinds == RUNS))
+        if blobs[WINDOWS]:
+            columns, first = _first_of(_unpack(blobs[WINDOWS], _HASHED))
+            yield from _send_runs([c[~first] for c in columns[2:]])
+        for columns in _windows_around(blobs[AROUND], width):
+            columns, first = _first_of(columns)
             yield from _send_runs([c[~first] for c in columns[2:]])
 
     chunk_of = F.col("target").alias("chunk")
-    covers, open_ = met.where(f"kind = {COVER}"), met.where(f"kind = {OPEN}")
+    covers, open_ = met.where(f"kind = {COVER}"), met.where(f"kind IN ({OPEN}, {HOT_OPEN})")
     near = (
         dealt.groupBy("chunk")
-        .cogroup(open_.select(chunk_of, "blob").repartition(chunks, "chunk").groupBy("chunk"))
+        .cogroup(open_.select("kind", chunk_of, "blob").repartition(chunks, "chunk").groupBy("chunk"))
         .applyInArrow(windows, _PACKED)
         .repartition(buckets, "target")
         .mapInArrow(last_pass, _PACKED)
@@ -388,7 +410,7 @@ def _send(columns: list[np.ndarray], buckets: int, most: int) -> Iterator[pa.Rec
     starts, ends = runs(columns[0])
     hot = np.repeat(np.add.reduceat(_changes(columns), starts) > most, ends - starts)
     yield from _places(columns, ~first, COVER)
-    yield from _places(columns, first & hot, OPEN)
+    yield from _places(columns, first & hot, HOT_OPEN)
     send = first & ~hot
     rest = [c[send] for c in columns]
     marks = np.unique(columns[0][hot])
@@ -399,6 +421,63 @@ def _send(columns: list[np.ndarray], buckets: int, most: int) -> Iterator[pa.Rec
     yield from _dealt(DIGITS, (rest[0] >> np.uint64(8)) % np.uint64(buckets), rest, _HASHED)
 
 
+def _send_around(around: list[tuple], buckets: int) -> list[pa.RecordBatch]:
+    """Open suffixes (digit, chunk, doc, sub, at, left, bytes) with the bytes around them, packed by digit."""
+    import zstandard
+
+    z, schema, packed = zstandard.ZstdCompressor(level=3), arrow_schema(_PACKED), {}
+    for row in around:
+        packed.setdefault(row[0] % buckets, []).append(row)
+    rows = []
+    for bucket, own in packed.items():
+        columns = [np.array([r[k] for r in own], np.int64) for k in range(1, 6)] + [np.array([len(r[6]) for r in own])]
+        head = b"".join(c.astype(t).tobytes() for c, (_, t) in zip(columns, _AROUND, strict=True))
+        rows.append((bucket, z.compress(np.uint32(len(own)).tobytes() + head + b"".join(r[6] for r in own))))
+    return [batch_of(schema, {"kind": [AROUND] * len(rows), "target": [r[0] for r in rows], "blob": [r[1] for r in rows]})] if rows else []
+
+
+def _windows_around(blobs: list[bytes], width: int) -> Iterator[list[np.ndarray]]:
+    """All windows (two hashes and their place) of suffixes that came with the bytes around them, whole digits at a time."""
+    import zstandard
+
+    if not blobs:
+        return
+    z, parts, texts = zstandard.ZstdDecompressor(), [], []
+    for blob in blobs:
+        raw = z.decompress(blob)
+        n, start, columns = int(np.frombuffer(raw[:4], np.uint32)[0]), 4, []
+        for _, t in _AROUND:
+            columns.append(np.frombuffer(raw, t, n, start).astype(np.int64))
+            start += n * np.dtype(t).itemsize
+        parts.append(columns)
+        texts.append(np.frombuffer(raw, np.uint8, -1, start))
+    chunk, doc, sub, at, left, size = (np.concatenate(c) for c in zip(*parts, strict=True))
+    data = np.concatenate(texts)
+    base = np.cumsum(size) - size
+    digits = ragged_take(data, base + left, np.full(len(base), DIGIT), np.arange(len(base))).reshape(-1, DIGIT // 8, 8).copy().view(np.uint64)[:, :, 0]
+    order = np.lexsort(digits.T)
+    _, ends = runs_of_rows(digits[order])
+    lo = 0
+    while lo < len(order):
+        hi = int(ends[min(len(ends) - 1, np.searchsorted(ends, lo + SLAB))])
+        own = order[lo:hi]
+        part = ragged_take(data, base, size, own)
+        at_base = np.cumsum(size[own]) - size[own]
+        n = size[own] - width + 1
+        step = np.arange(int(n.sum())) - np.repeat(np.cumsum(n) - n, n)
+        s = np.repeat(at_base, n) + step
+        place = [np.repeat(c[own], n) for c in (chunk, doc, sub)]
+        yield [Hashes(part, 7).at(s, s + width), Hashes(part, 11).at(s, s + width), *place, np.repeat((at - left)[own], n) + step]
+        lo = hi
+
+
+def runs_of_rows(rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Starts and ends of runs of equal rows."""
+    new = np.r_[True, (rows[1:] != rows[:-1]).any(1)]
+    starts = np.flatnonzero(new)
+    return starts, np.r_[starts[1:], len(rows)]
+
+
 def _send_windows(columns: list[np.ndarray], buckets: int) -> list[pa.RecordBatch]:
     columns, first = _first_of(columns)
     own = [c[first] for c in columns]
