@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from vintage.llm import language, neighbours, simhash, suffixes, tokens
+from vintage.llm import language, neighbours, pages, simhash, suffixes, tokens
 from vintage.llm.common import load
 
 
@@ -36,12 +36,18 @@ def op9_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neighbours.nearest(vectors, vectors.where("vec_id % 20 = 0"))
 
 
+def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    table = load(spark, sf_dir, "pages")
+    return pages.extract(table, pages.fit(table))
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
     "op5_bpe": op5_bpe,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_neighbours": op9_neighbours,
+    "op10_html": op10_html,
 }
 
 ORACLES: dict[str, str] = {}
