@@ -3,8 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from vintage.llm import language, neighbours, pages, simhash, suffixes, tokens
+from vintage.llm import decontaminate, language, lines, neighbours, pages, simhash, suffixes, tokens
 from vintage.llm.common import load
 
 
@@ -19,6 +20,10 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers
 
@@ -26,6 +31,13 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
+def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines"))
+    return lines.dedup_lines(docs).select(
+        "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
+    )
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffixes.remove_repeats(load(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -44,10 +56,12 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
+    "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
+    "op6_line_dedup": op6_line_dedup,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_html": op10_html,
 }
 
-ORACLES: dict[str, str] = {}
+ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE}
