@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import decontaminate, language, lines, neighbours, pages, simhash, suffixes, tokens
+from vintage.llm import decontaminate, language, lines, neighbours, pages, quality, simhash, suffixes, tokens, toxicity
 from vintage.llm.common import load
 
 
@@ -20,6 +20,11 @@ def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", "fingerprint", "component_id")
 
 
+def op3_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return quality.score(docs, quality.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op4_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.decontaminate(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
@@ -38,6 +43,11 @@ def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents")
+    return toxicity.predict(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+
+
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     cleaned = suffixes.remove_repeats(load(spark, sf_dir, "documents"))
     return cleaned.select("doc_id", "n_bytes", "n_removed", "n_spans", "kept_sha256")
@@ -56,9 +66,11 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
+    "op3_quality": op3_quality,
     "op4_decontaminate": op4_decontaminate,
     "op5_bpe": op5_bpe,
     "op6_line_dedup": op6_line_dedup,
+    "op7_toxicity": op7_toxicity,
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_html": op10_html,
