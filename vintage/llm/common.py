@@ -7,7 +7,7 @@ from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Rows of one Arrow batch. Texts are long, so a batch stays at some megabytes.
@@ -46,6 +46,11 @@ def cut(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def row_key() -> Column:
+    """Tells rows apart by id and text; equal rows are one document."""
+    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), "text")
+
+
 def partitions(total: int, each: int) -> int:
     return max(1, -(-int(total) // each))
 

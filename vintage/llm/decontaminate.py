@@ -7,10 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, fnv, mix64, passes
+from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, fnv, mix64, passes, row_key
 
 #: Tokens of a template window, fixed words it must have, and share of an item's windows that must be found.
 WINDOW = 6
@@ -142,11 +142,6 @@ def _template_windows(rows: DataFrame, widths: list[int], bitmap=None) -> DataFr
     return rows.select("row", "doc_id", "text").mapInArrow(run, _HITS)
 
 
-def row_key() -> Column:
-    """Tells rows apart by id and text; equal rows are one document."""
-    return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), "text")
-
-
 def _template_lengths(items: DataFrame) -> DataFrame:
     """(item_id, row, tokens): how many template tokens each item has."""
 

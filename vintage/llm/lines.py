@@ -10,8 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64
-from vintage.llm.decontaminate import row_key
+from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64, row_key
 
 #: Lines of a window.
 WINDOW = 3

@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, runs
+from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64, row_key, runs
 from vintage.llm.components import components
 
 #: Bits of a fingerprint that may differ within a link, and segments of the ring.
@@ -200,3 +200,105 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     return marked.join(by_fp, "fp").select(
         "doc_id", "fp", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"
     )
+
+
+#: Samples of a text's shingles whose SimHash is compared exactly, and shingles in each (their bits' majority).
+SKETCHES = 8
+SAMPLED = 3
+_MARKED = "row long, doc_id long, cls long, fp long, sketches array<long>"
+
+
+def sketches_of(hashes: np.ndarray, sketches: int = SKETCHES) -> np.ndarray:
+    """SimHash of the SAMPLED shingles that come first in each of so many orders of the shingles."""
+    seeds = np.arange(1, sketches + 1, dtype=np.uint64)[:, None] * np.uint64(0xD1B54A32D192ED03)
+    keys = mix64(np.unique(hashes)[None, :] ^ seeds)
+    if keys.shape[1] < SAMPLED:
+        keys = np.concatenate([keys] * SAMPLED, 1)
+    a, b, c = np.partition(keys, SAMPLED - 1, axis=1)[:, :SAMPLED].T
+    return ((a & b) | (a & c) | (b & c)).view(np.int64)
+
+
+def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
+    """Rows (row, doc_id, cls) and components (node, root) of classes whose texts are similar.
+
+    A class holds texts of the same words. Two classes are linked if the Jaccard similarity
+    of their sets of shingles is least or more. Fingerprints of whole texts that far apart
+    differ by about ten of 64 bits, for which no chain prunes anything, so pairs come from
+    two sources: fingerprints within MAX_BITS by their chains (links), and equal SimHashes of
+    small samples of the shingles; at similarity s a sample of SAMPLED agrees with
+    probability s ** SAMPLED, and one of SKETCHES does for 99.7 % of pairs at 0.8. In each
+    group of a sample all members are compared with the one that shares most samples with
+    others, so a group of n gives n edges. Every edge is checked on the whole sets.
+    """
+    bounded_batches(docs.sparkSession)
+
+    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import xxhash
+
+        schema = arrow_schema(_MARKED)
+        for b in batches:
+            out: dict[str, list] = {"cls": [], "fp": [], "sketches": []}
+            for text in b.column(2).to_pylist():
+                hashes = shingle_hashes(text, words)
+                same = b" ".join((text or "").encode().lower().split())
+                out["cls"].append(xxhash.xxh64_intdigest(same, 23) - (1 << 63))
+                out["fp"].append(fingerprint_of(hashes))
+                out["sketches"].append(sketches_of(hashes).tolist() if len(hashes) else [])
+            yield batch_of(schema, {"row": b.column(0), "doc_id": b.column(1), **out})
+
+    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
+    marked = cut(keyed.mapInArrow(mark, _MARKED))
+    classes = cut(marked.groupBy("cls").agg(F.min("row").alias("row"), F.min("fp").alias("fp"), F.max_by("sketches", "row").alias("sketches")))
+    sampled = classes.select("cls", F.posexplode("sketches").alias("j", "sketch")).select("cls", F.xxhash64("j", "sketch").alias("key"))
+    sizes = cut(sampled.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
+    shared = cut(sampled.join(sizes, "key"))
+    central = shared.groupBy("cls").agg(F.sum("size").alias("score"))
+    leaders = cut(shared.join(central, "cls").groupBy("key").agg(F.max(F.struct("score", "cls")).alias("lead")).select("key", F.col("lead.cls").alias("v")))
+    stars = shared.join(leaders, "key").where("cls <> v").select(F.col("cls").alias("u"), "v")
+    by_fp = cut(classes.groupBy("fp").agg(F.min("cls").alias("cls")))
+    same_fp = classes.join(by_fp.withColumnRenamed("cls", "v"), "fp").where("cls <> v").select(F.col("cls").alias("u"), "v")
+    near = links(by_fp.select("fp")).withColumnRenamed("v", "w")
+    near = near.join(by_fp.select(F.col("fp").alias("u"), F.col("cls").alias("a")), "u").join(by_fp.select(F.col("fp").alias("w"), F.col("cls").alias("b")), "w")
+    pairs = cut(stars.unionAll(same_fp).unionAll(near.select(F.col("a").alias("u"), F.col("b").alias("v"))).distinct())
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema("cls long, hashes binary")
+        for b in batches:
+            found = [np.unique(shingle_hashes(t, words) & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for t in b.column(1).to_pylist()]
+            yield batch_of(schema, {"cls": b.column(0), "hashes": found})
+
+    wanted = pairs.select(F.col("u").alias("cls")).unionAll(pairs.select(F.col("v").alias("cls"))).distinct()
+    wanted = cut(classes.select("cls", F.col("row").alias("_row")).join(wanted, "cls"))
+    texts = keyed.join(wanted, F.col("row") == F.col("_row")).select("cls", "text")
+    known = cut(texts.mapInArrow(sets, "cls long, hashes binary").groupBy("cls").agg(F.first("hashes").alias("hashes")))
+
+    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema("u long, v long")
+        for b in batches:
+            good = []
+            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
+                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
+                both = len(np.intersect1d(p, q, assume_unique=True))
+                good.append(both >= least * (len(p) + len(q) - both))
+            yield batch_of(schema, {"u": b.column(0).filter(pa.array(good)), "v": b.column(1).filter(pa.array(good))})
+
+    sided = pairs.join(known.select(F.col("cls").alias("u"), F.col("hashes").alias("x")), "u")
+    sided = sided.join(known.select(F.col("cls").alias("v"), F.col("hashes").alias("y")), "v").select("u", "v", "x", "y")
+    return marked.select("row", "doc_id", "cls"), components(sided.mapInArrow(check, "u long, v long"))
+
+
+def one_of_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
+    """Rows of docs, all columns: of each group of similar texts the row of the least doc_id.
+
+    Rows without a doc_id stay only where no row of their group has one; ties go to the
+    least hash of id and text, and of equal rows one stays. Texts without words are one
+    group. Empty tables give none.
+    """
+    rows, roots = similar_classes(docs, words, least)
+    placed = rows.join(roots, rows["cls"] == roots["node"], "left").select("row", "doc_id", F.coalesce("root", "cls").alias("root"))
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
+    stay = cut(placed.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias("_kept_row")))
+    kept = docs.join(stay, row_key() == F.col("_kept_row"), "left_semi")
+    if rows.groupBy("row").count().where("count > 1").take(1):
+        kept = kept.withColumn("_kept_row", row_key()).dropDuplicates(["_kept_row"]).drop("_kept_row")
+    return kept

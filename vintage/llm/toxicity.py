@@ -7,6 +7,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -188,8 +189,6 @@ def predict(docs: DataFrame, chain: Chain) -> DataFrame:
 
 def clean_documents(docs: DataFrame, chain: Chain) -> DataFrame:
     """Rows of docs, all columns, that the chain does not call toxic; a NULL text stays."""
-    import pandas as pd
-
     shared = docs.sparkSession.sparkContext.broadcast(chain)
 
     @F.pandas_udf("boolean")
