@@ -272,9 +272,11 @@ def fit(pages: DataFrame, sample: int = SAMPLE, html_column: str = "html") -> Tr
     sample bounds the pages taken from the table, the first by the hash of their source.
     """
     known = [(p, labels(p)) for p in map(parse, labelled_pages())]
-    column = F.col(html_column)
-    rows = pages.where(column.contains("<article")).select(column.alias("html")).orderBy(F.xxhash64("html"), "html").limit(sample)
-    for page in map(parse, rows.toArrow().column("html").to_pylist() if sample else []):
+    named = pages.select(F.col(html_column).alias("html")).where(F.col("html").contains("<article"))
+    hashed = F.xxhash64("html")
+    last = named.select(hashed.alias("h")).distinct().orderBy("h").limit(sample).agg(F.max("h")).first()[0] if sample else None
+    taken = [] if last is None else named.where(hashed <= last).distinct().toArrow().column("html").to_pylist()
+    for page in map(parse, sorted(taken)):
         if (own := own_labels(page)) is not None:
             known.append((page, own))
     return train(known)
