@@ -30,7 +30,7 @@ UNITS = frozenset(
     "h hr hrs day days week weeks month months year years cent cents dollar dollars euro euros usd eur percent degree "
     "degrees celsius fahrenheit mph kmh watt watts volt volts joule joules newton newtons meter meters metre metres".split()
 )
-_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?\n]")
+_TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
 WORD, CAPITAL, NUMBER, MARK, UNIT = range(5)
 _SLOT = {"number": 1, "name": 2, "unit": 3}
 _HITS = "row long, doc_id long, at long, window long, slots array<long>"
@@ -46,7 +46,7 @@ class Vocabulary(dict):
 
     def __missing__(self, token: str) -> int:
         low = token.lower()
-        if token in ".!?\n":
+        if token in ".!?:\n":
             kind = MARK
         elif token[0].isdigit() or low in NUMBER_WORDS:
             kind = NUMBER
