@@ -62,11 +62,11 @@ class Chain:
 
 
 def _sample(docs: DataFrame, labels: DataFrame, label: str, size: int) -> DataFrame:
-    """(doc_id, text, y) of labelled texts. An id that is labelled twice counts as toxic if once."""
+    """(doc_id, text, y) of labelled texts; the ids are broadcast, size at most. An id that is labelled twice counts as toxic if once."""
     known = labels.where(f"doc_id IS NOT NULL AND {label} IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.max(label).alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(size)
     texts = docs.where("text IS NOT NULL").select(F.col("doc_id").cast("long").alias("doc_id"), "text")
-    return texts.join(chosen, "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
+    return texts.join(F.broadcast(chosen), "doc_id").select("doc_id", "text", F.col("y").cast("int").alias("y"))
 
 
 def _feature_counts(sample: DataFrame) -> DataFrame:
