@@ -126,7 +126,7 @@ def _with_metadata(docs: DataFrame) -> DataFrame:
 
 
 def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int = SAMPLE, pool: int = POOL, rounds: int = ROUNDS) -> CoTrained:
-    """Co-train both views on at most sample labelled and pool unlabelled documents.
+    """Co-train both views on at most sample labelled and pool unlabelled documents (their ids are broadcast).
 
     A fifth of the labelled ones is kept for calibration. In each round each view labels
     the documents of the pool that it is surest of, as many of either class as fits the
@@ -137,10 +137,10 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", sample: int
     table = _with_metadata(docs)
     known = labels.where(f"doc_id IS NOT NULL AND {label} IS NOT NULL").groupBy(F.col("doc_id").cast("long").alias("doc_id")).agg(F.min(label).cast("int").alias("y"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(sample)
-    labelled = _views(table.join(chosen, "doc_id"))
+    labelled = _views(table.join(F.broadcast(chosen), "doc_id"))
     ids = table.select("doc_id").where("doc_id IS NOT NULL").join(known, "doc_id", "left_anti").distinct()
     others = ids.orderBy(F.xxhash64("doc_id"), "doc_id").limit(pool).withColumn("y", F.lit(-1))
-    data = cut(labelled.unionAll(_views(table.join(others, "doc_id")))).toArrow().sort_by([("doc_id", "ascending")])
+    data = cut(labelled.unionAll(_views(table.join(F.broadcast(others), "doc_id")))).toArrow().sort_by([("doc_id", "ascending")])
     y = np.array(data.column("y").to_pylist(), np.int64)
     text = np.array(data.column("text").to_pylist(), np.float64).reshape(len(y), TEXT_VIEW)
     meta = Design.of(data.column("meta").to_pylist(), META)
