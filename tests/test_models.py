@@ -224,7 +224,9 @@ def test_train_from_raw_and_score_applications(spark):
     result = jobs.train_from_raw(raw, models=("logistic_regression",), tune=False)
     assert result["metrics"].head().roc_auc > 0.6
     assert "id" not in result["features"] and "issue_month" in result["features"]
-    assert {r.left_out for r in result["left_out"].collect()} == {0}
+    sides = {r.split: r for r in result["filled"].collect()}
+    assert {r.filled for r in sides.values()} == {0}
+    assert result["scored"].filter("model = 'logistic_regression'").count() == sides["test"].rows
     rules = [r for r in score.application_rules() if r.name in ("loan_amnt", "dti")]
     new = spark.createDataFrame(
         [(1, 5000.0, 0.5, "2020-05-01"), (2, -1.0, 0.5, "2020-05-01"), (3, 5000.0, 0.5, "soon")],

@@ -23,22 +23,26 @@ from vintage.functions.columns import BATCH, batches, melt, row_hash
 # distinct values in one task, so the map entries per job are bounded as well.
 EXACT_ROWS = 1_000_000
 EXACT_CELLS = 4_000_000
-# Up to this many rows one task may order on its own; beyond it the order is
-# split into buckets.
+# Rows that one bucket of an order holds, so the number of buckets follows the table.
 SINGLE_TASK_ROWS = 1_000_000
 BROADCAST_ROWS = 500_000
-BUCKETS = 512
+MAX_BUCKETS = 8192
 ACCURACY = 10_000
 HASH_BITS = 16
 
 
-def cut_points(df: DataFrame, value: str, buckets: int = BUCKETS) -> list[float]:
-    """Values that split ``value`` into even buckets, none for a small table.
+def buckets_for(rows: int) -> int:
+    return max(1, min(MAX_BUCKETS, rows // max(SINGLE_TASK_ROWS, 10)))
 
-    The table is counted first, which reads no more than its filter columns;
-    only a table too large for one task is sketched.
+
+def cut_points(df: DataFrame, value: str, buckets: int | None = None) -> list[float]:
+    """Values that split ``value`` into even buckets, as many as its rows fill.
+
+    The table is counted first, which reads no more than its filter columns; one
+    that fills a single bucket needs no sketch.
     """
-    if df.count() <= SINGLE_TASK_ROWS:
+    buckets = buckets_for(df.count()) if buckets is None else buckets
+    if buckets == 1:
         return []
     probs = ", ".join(f"{i / buckets}D" for i in range(1, buckets))
     sketch = F.expr(f"percentile_approx(CAST(`{value}` AS DOUBLE), array({probs}), {ACCURACY})")
@@ -59,20 +63,31 @@ def _with_bucket(df: DataFrame, value: str, cuts: Sequence[float]) -> DataFrame:
     return found.withColumn("_bucket", bucket).drop("_order")
 
 
-def _join_offsets(rows: DataFrame, offsets: DataFrame, keys: Sequence[str],
+def _grouped(df: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Add ``_by``: the keys as one value that is never NULL.
+
+    Equality of such values lets NULL keys match, and joins, groups and windows on
+    it ask for the same partitioning; a null-safe join on the keys would not.
+    """
+    return df.withColumn("_by", F.struct(*by)) if by else df
+
+
+def _join_offsets(rows: DataFrame, offsets: DataFrame, by: Sequence[str],
                   few: bool = False) -> DataFrame:
-    """Attach per-(keys, bucket) offsets; NULL keys match each other.
+    """Attach per-(by, bucket) offsets.
 
     Without keys the offsets are one row per bucket, at most 2 ** HASH_BITS, so
     they are broadcast. With keys that takes a bound the caller knows (``few``);
-    else Spark decides, and the join shares its shuffle with the window after.
+    else Spark decides, and a shuffled join leaves rows where the window after
+    it needs them.
     """
-    on = [*keys, "_bucket"]
-    right = offsets.withColumnsRenamed({k: f"_off_{k}" for k in on})
-    cond = [rows[k].eqNullSafe(right[f"_off_{k}"]) for k in keys]
-    cond.append(rows["_bucket"] == right["_off__bucket"])
-    side = F.broadcast(right) if few or not keys else right
-    return rows.join(side, cond).drop(*[f"_off_{k}" for k in on])
+    on = ["_by", "_bucket"] if by else ["_bucket"]
+    right = offsets.drop(*by)
+    return rows.join(F.broadcast(right) if few or not by else right, on)
+
+
+def _slots(by: Sequence[str]) -> list[str]:
+    return ["_by", "_bucket"] if by else ["_bucket"]
 
 
 def running_totals(
@@ -90,40 +105,29 @@ def running_totals(
     if cuts is None:
         cuts = cut_points(groups, order)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    if not cuts:
-        return _small_totals(groups, direction(order), sums, by)
-    rows = _with_bucket(groups, order, cuts)
-    totals = rows.groupBy(*by, "_bucket").agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
-    part = [*by] or [F.lit(0)]
+    rows = _grouped(_with_bucket(groups, order, cuts), by)
+    totals = rows.groupBy(*_slots(by)).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    part = ["_by"] if by else [F.lit(0)]
     before = Window.partitionBy(*part).orderBy(direction("_bucket")).rowsBetween(
         Window.unboundedPreceding, -1
     )
     whole = Window.partitionBy(*part)
     offsets = totals.select(
-        *by,
-        "_bucket",
+        *_slots(by),
         *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
         *[F.sum(f"_t_{s}").over(whole).alias(f"all_{s}") for s in sums],
     )
-    inside = Window.partitionBy(*by, "_bucket").orderBy(direction(order)).rowsBetween(
+    inside = Window.partitionBy(*_slots(by)).orderBy(direction(order)).rowsBetween(
         Window.unboundedPreceding, Window.currentRow
     )
     joined = _join_offsets(rows, offsets, by)
     out = joined.withColumns({f"cum_{s}": F.col(f"_o_{s}") + F.sum(s).over(inside) for s in sums})
-    return out.drop("_bucket", *[f"_o_{s}" for s in sums])
-
-
-def _small_totals(groups, ordering, sums, by):
-    whole = Window.partitionBy(*([*by] or [F.lit(0)]))
-    upto = whole.orderBy(ordering).rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    return groups.withColumns(
-        {f"cum_{s}": F.sum(s).over(upto) for s in sums} | {f"all_{s}": F.sum(s).over(whole) for s in sums}
-    )
+    return out.drop("_by", "_bucket", *[f"_o_{s}" for s in sums])
 
 
 def _hash_offsets(rows: DataFrame, by: Sequence[str]) -> DataFrame:
-    counts = rows.groupBy(*by, "_bucket").agg(F.count("*").alias("_size"))
-    part = [*by] or [F.lit(0)]
+    counts = rows.groupBy(*_slots(by)).agg(F.count("*").alias("_size"))
+    part = ["_by"] if by else [F.lit(0)]
     w = Window.partitionBy(*part).orderBy("_bucket").rowsBetween(Window.unboundedPreceding, -1)
     return counts.withColumn("_start", F.coalesce(F.sum("_size").over(w), F.lit(0)))
 
@@ -140,11 +144,11 @@ def hash_rank(df: DataFrame, key: Sequence[str], by: Sequence[str] = (), seed: i
 
     ``key`` identifies a row, so the shuffle is the same on every run.
     """
-    rows = _with_hash(df, key, seed, bits)
+    rows = _grouped(_with_hash(df, key, seed, bits), by)
     joined = _join_offsets(rows, _hash_offsets(rows, by).drop("_size"), by)
-    w = Window.partitionBy(*by, "_bucket").orderBy("_hash", *key)
+    w = Window.partitionBy(*_slots(by)).orderBy("_hash", *key)
     ranked = joined.withColumn(out, F.col("_start") + F.row_number().over(w))
-    return ranked.drop("_hash", "_bucket", "_start")
+    return ranked.drop("_hash", "_by", "_bucket", "_start")
 
 
 def take_by_hash(df: DataFrame, key: Sequence[str], n: int | None = None,
@@ -159,19 +163,19 @@ def take_by_hash(df: DataFrame, key: Sequence[str], n: int | None = None,
     holds a row of the sample, so there are at most ``total`` of them plus one
     per group: below BROADCAST_ROWS they go to the rows, not the rows to them.
     """
-    rows = _with_hash(df, key, seed, bits)
+    rows = _grouped(_with_hash(df, key, seed, bits), by)
     offsets = _hash_offsets(rows, by).drop("_size")
     if quotas is None:
         offsets = offsets.withColumn("quota", F.lit(n).cast("long"))
     else:
-        offsets = offsets.join(quotas.select(*by, "quota"), list(by))
+        offsets = offsets.join(_grouped(quotas, by).select("_by", "quota"), "_by")
     offsets = offsets.filter(F.col("_start") < F.col("quota"))
     few = total is not None and total <= BROADCAST_ROWS
     joined = _join_offsets(rows, offsets, by, few)
-    w = Window.partitionBy(*by, "_bucket").orderBy("_hash", *key)
+    w = Window.partitionBy(*_slots(by)).orderBy("_hash", *key)
     ranked = joined.withColumn("_rank", F.col("_start") + F.row_number().over(w))
     kept = ranked.filter(F.col("_rank") <= F.col("quota"))
-    return kept.drop("_hash", "_bucket", "_start", "quota", "_rank")
+    return kept.drop("_hash", "_by", "_bucket", "_start", "quota", "_rank")
 
 
 def _lerp(lo: float, hi: float, pos: float) -> float:

@@ -91,8 +91,8 @@ def missing_ranking(df: DataFrame, k: int = 20) -> DataFrame:
 
 
 def high_missing(df: DataFrame, threshold: float = 50.0,
-                 max_columns: int | None = 20) -> DataFrame:
-    """Columns above ``threshold`` percent missing, worst first."""
+                 max_columns: int | None = None) -> DataFrame:
+    """Columns above ``threshold`` percent missing, worst first; all of them unless limited."""
     found = missing_profile(df).filter(F.col("pct") > threshold).orderBy(F.desc("pct"), "column")
     return found if max_columns is None else found.limit(max_columns)
 
@@ -204,8 +204,8 @@ def leakage_screen(df: DataFrame, label: str, columns: Sequence[str] | None = No
     labelled = df.filter(F.col(label).isNotNull())
     rows = labelled.count()
     long = melt(labelled, columns, keep=[F.col(label).cast("long").alias("label")])
-    small = rows * len(columns) <= ordering.SINGLE_TASK_ROWS
-    ranked = ranked_counts(long, "label", "value", ["column"], [] if small else None)
+    cuts = ordering.cut_points(long, "value", ordering.buckets_for(rows * len(columns)))
+    ranked = ranked_counts(long, "label", "value", ["column"], cuts)
     scores = ranked.groupBy("column").agg(
         *areas(), (F.max("positives") + F.max("negatives")).alias("filled")
     )

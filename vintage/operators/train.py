@@ -12,11 +12,11 @@ from typing import Any
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
-from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.functions.ordering import hash_rank
+from vintage.functions.ordering import exact_quantiles, hash_rank
 from vintage.operators.evaluate import evaluate
 from vintage.operators.score import positive_probability
 from vintage.sources.tables import use_shared_checkpoints
@@ -53,15 +53,17 @@ DEFAULTS: dict[str, dict[str, Any]] = {
 MODELS = tuple(DEFAULTS)
 SCORING = {"roc_auc": "roc_auc", "precision": "precision", "recall": "recall", "f1": "f1_score"}
 MAX_DEPTH = 30
+#: Parameters of the grids that Spark's learners have no counterpart of.
+UNMAPPED = frozenset({"min_samples_split"})
 
 
-# Iterative fits pay for every task on every step, so small tables use few.
-ROWS_PER_TASK = 50_000
+#: Partitions that a fit reads. Bagging is seeded by partition, so this is part of a model's definition.
+PARTITIONS = 8
 
 
-def sized(df: DataFrame, rows: int) -> DataFrame:
-    """At least ROWS_PER_TASK rows per partition; a large table stays as it is."""
-    return df.coalesce(max(1, -(-rows // ROWS_PER_TASK)))
+def dealt(df: DataFrame, key: Sequence[str], partitions: int = PARTITIONS) -> DataFrame:
+    """Rows dealt by key and in its order, whatever files they came from."""
+    return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
 
 def class_counts(df: DataFrame, label: str) -> tuple[int, int]:
@@ -103,16 +105,19 @@ def class_weights(df: DataFrame, label: str) -> DataFrame:
 
 
 def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str, Any] | None = None,
-              label: str = "label", weight: str = "_weight", seed: int = 42) -> Pipeline:
+              label: str = "label", weight: str = "_weight", seed: int = 42,
+              fill: Mapping[str, float] | None = None) -> Pipeline:
     """Unfitted pipeline for one of MODELS.
 
-    ``rows`` is the number of training rows: with balanced weights their sum,
+    ``fill`` puts a value in place of a feature's NULLs, in a stage of its own that is
+    saved with the model. ``rows`` is the number of training rows: with balanced weights their sum,
     which turns the inverse penalty C into Spark's averaged-loss penalty.
     """
     if name not in DEFAULTS:
         raise ValueError(f"unknown model: {name}")
     p = {**DEFAULTS[name], **(params or {})}
-    stages: list = [VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error")]
+    stages: list = [filling(fill)] if fill else []
+    stages.append(VectorAssembler(inputCols=list(features), outputCol="features", handleInvalid="error"))
     common = {"labelCol": label, "weightCol": weight}
     if name == "logistic_regression":
         stages.append(StandardScaler(inputCol="features", outputCol="scaled", withMean=True))
@@ -155,6 +160,17 @@ def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str
     return Pipeline(stages=stages)
 
 
+def medians(df: DataFrame, features: Sequence[str]) -> dict[str, float]:
+    """Median of each feature for ``fill``; 0 where it has no value at all."""
+    found = exact_quantiles(df, features, [0.5])
+    return {c: float(found[c][0]) if found[c] else 0.0 for c in features}
+
+
+def filling(fill: Mapping[str, float]) -> SQLTransformer:
+    filled = ", ".join(f"coalesce(nanvl(CAST(`{c}` AS DOUBLE), NULL), {v!r}D) AS `{c}`" for c, v in fill.items())
+    return SQLTransformer(statement=f"SELECT * EXCEPT ({', '.join(f'`{c}`' for c in fill)}), {filled} FROM __THIS__")
+
+
 def weight_for(name: str, label: str, negatives: int, positives: int) -> Column:
     rule = positive_weight if name == "gradient_boosting" else balanced_weight
     return rule(label, negatives, positives)
@@ -162,15 +178,19 @@ def weight_for(name: str, label: str, negatives: int, positives: int) -> Column:
 
 def fit(df: DataFrame, name: str, features: Sequence[str], label: str = "label",
         params: Mapping[str, Any] | None = None, seed: int = 42,
-        counts: tuple[int, int] | None = None) -> PipelineModel:
+        counts: tuple[int, int] | None = None, key: Sequence[str] | None = None,
+        partitions: int | None = PARTITIONS, fill: Mapping[str, float] | None = None) -> PipelineModel:
     """Fit one model with its class weighting.
 
+    Rows are dealt to ``partitions`` by ``key`` (or else by all they hold), so the same
+    rows give the same model on any file layout; None takes them as they lie.
     Boosting checkpoints its growing lineage every ten rounds.
     """
     use_shared_checkpoints(df.sparkSession)
     neg, pos = counts or class_counts(df, label)
-    weighted = sized(df, neg + pos).withColumn("_weight", weight_for(name, label, neg, pos))
-    return estimator(name, features, neg + pos, params, label, seed=seed).fit(weighted)
+    rows = df if partitions is None else dealt(df, key or [*features, label], partitions)
+    weighted = rows.withColumn("_weight", weight_for(name, label, neg, pos))
+    return estimator(name, features, neg + pos, params, label, seed=seed, fill=fill).fit(weighted)
 
 
 def stratified_folds(df: DataFrame, label: str, key: Sequence[str], k: int = 5,
@@ -186,24 +206,31 @@ def grid_candidates(grid: Mapping[str, Sequence]) -> list[dict[str, Any]]:
 
 def random_candidates(grid: Mapping[str, Sequence], n_iter: int = 20,
                       seed: int = 42) -> list[dict[str, Any]]:
-    """Distinct grid points; all of them when the grid is smaller."""
-    points = grid_candidates(grid)
+    """Grid points that give distinct fits; all of them when the grid is smaller.
+
+    Points that differ only in parameters without a counterpart here are one.
+    """
+    distinct = {tuple((k, v) for k, v in p.items() if k not in UNMAPPED): p for p in reversed(grid_candidates(grid))}
+    points = list(distinct.values())[::-1]
     return random.Random(seed).sample(points, min(n_iter, len(points)))
 
 
 def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str],
            label: str = "label", candidates: Sequence[Mapping[str, Any]] | None = None,
-           k: int = 5, scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42) -> DataFrame:
+           k: int = 5, scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42,
+           partitions: int = PARTITIONS, fill: Mapping[str, float] | None = None) -> DataFrame:
     """Cross-validated score per candidate and fold, on both sides of the fold.
 
-    Each fit is a distributed Spark job and a candidate's folds are evaluated
-    together; the driver keeps a few of them in flight and one number per side.
+    Each fit is a distributed Spark job. A candidate's folds are fitted and evaluated by
+    one of ``parallelism`` threads, which then lets its models go: the driver holds that
+    many candidates at once, and one number per side of the others.
     """
     if scoring not in SCORING:
         raise ValueError(f"unknown scoring metric: {scoring}")
     metric = SCORING[scoring]
     candidates = list(candidates or grid_candidates(GRIDS[name]))
-    folded = stratified_folds(df, label, key, k, seed).select(
+    numbered = dealt(stratified_folds(df, label, key, k, seed), key, partitions)
+    folded = numbered.select(
         *[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label), "fold"
     )
     folded = folded.persist(StorageLevel.MEMORY_AND_DISK)
@@ -211,22 +238,16 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
         (r["fold"], int(r[label])): r["count"] for r in folded.groupBy("fold", label).count().collect()
     }
 
-    few = sized(folded, sum(sizes.values()))
-
     def train_counts(fold):
         return tuple(sum(n for (f, y), n in sizes.items() if f != fold and y == side) for side in (0, 1))
 
-    def fit_one(job):
-        i, fold = job
-        train = few.filter(F.col("fold") != fold)
-        return fit(train, name, features, label, candidates[i], seed, train_counts(fold))
-
-    def score_one(job):
-        i, models = job
+    def run_one(i):
         parts = []
-        for fold, model in enumerate(models):
+        for fold in range(k):
+            rows = folded.filter(F.col("fold") != fold)
+            model = fit(rows, name, features, label, candidates[i], seed, train_counts(fold), partitions=None, fill=fill)
             side = F.when(F.col("fold") == fold, "test").otherwise("train")
-            scored = model.transform(few).select(
+            scored = model.transform(folded).select(
                 F.lit(fold).alias("held_out"), side.alias("side"), label, "prediction",
                 positive_probability().alias("probability"),
             )
@@ -238,12 +259,8 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
 
     try:
         with ThreadPoolExecutor(parallelism) as pool:
-            def spread(fn, jobs):
-                return list(pool.map(inheritable_thread_target(df.sparkSession)(fn), jobs))
-
-            models = spread(fit_one, [(i, f) for i in range(len(candidates)) for f in range(k)])
-            jobs = [(i, models[i * k : (i + 1) * k]) for i in range(len(candidates))]
-            rows = list(itertools.chain.from_iterable(spread(score_one, jobs)))
+            run = inheritable_thread_target(df.sparkSession)(run_one)
+            rows = list(itertools.chain.from_iterable(pool.map(run, range(len(candidates)))))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(
@@ -272,7 +289,8 @@ def search_table(scores: DataFrame) -> DataFrame:
 def tune(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str],
          label: str = "label", method: str = "random", n_iter: int = 20, k: int = 5,
          scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42,
-         grid: Mapping[str, Sequence] | None = None) -> tuple[PipelineModel, DataFrame]:
+         grid: Mapping[str, Sequence] | None = None, partitions: int = PARTITIONS,
+         fill: Mapping[str, float] | None = None) -> tuple[PipelineModel, DataFrame]:
     """Search, then refit the best candidate on all rows."""
     grid = grid or GRIDS[name]
     if method == "grid":
@@ -281,10 +299,11 @@ def tune(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str],
         candidates = random_candidates(grid, n_iter, seed)
     else:
         raise ValueError(f"unknown method: {method}; use 'grid' or 'random'")
-    scores = search(df, name, features, key, label, candidates, k, scoring, parallelism, seed)
+    scores = search(df, name, features, key, label, candidates, k, scoring, parallelism, seed, partitions, fill)
     table = search_table(scores)
     best = table.filter("is_best").head()
-    return fit(df, name, features, label, candidates[best["candidate"]], seed), table
+    model = fit(df, name, features, label, candidates[best["candidate"]], seed, key=key, partitions=partitions, fill=fill)
+    return model, table
 
 
 def tune_all(df: DataFrame, features: Sequence[str], key: Sequence[str], label: str = "label",

@@ -112,29 +112,30 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
 
     Returns the fitted models and the metric, best-model and search tables.
     The feature table is cut from its lineage once: every fit reads it again.
-    Models take no NULLs; rows that have one are counted in ``left_out``.
+    NULL features get the median of the train side, in a stage of each model, so
+    every row is fitted on or scored; ``filled`` counts the rows that had one.
     """
     inputs = list(inputs or features.model_inputs(df, label, key))
     whole = cut_lineage(df.select(*key, label, side, *inputs))
-    table = whole.dropna(subset=inputs)
     gaps = reduce(Column.__or__, [F.col(c).isNull() for c in inputs])
-    left_out = whole.groupBy(side).agg(F.count("*").alias("rows"), F.count_if(gaps).alias("left_out"))
-    train_rows = table.filter(F.col(side) == "train")
-    test_rows = table.filter(F.col(side) == "test")
+    filled = whole.groupBy(side).agg(F.count("*").alias("rows"), F.count_if(gaps).alias("filled"))
+    train_rows = whole.filter(F.col(side) == "train")
+    test_rows = whole.filter(F.col(side) == "test")
+    fill = train.medians(train_rows, inputs)
     tables = []
     fitted = {}
     for name in models:
         if tune:
-            fitted[name], scores = train.tune(train_rows, name, inputs, key, label, **search)
+            fitted[name], scores = train.tune(train_rows, name, inputs, key, label, fill=fill, **search)
             tables.append(scores)
         else:
-            fitted[name] = train.fit(train_rows, name, inputs, label)
+            fitted[name] = train.fit(train_rows, name, inputs, label, key=key, fill=fill)
     scored = cut_lineage(score_models(fitted, test_rows, [*key, label]))
     metrics = evaluate.evaluate(scored, label)
     return {
         "models": fitted,
         "features": inputs,
-        "left_out": left_out,
+        "filled": filled,
         "scored": scored,
         "metrics": metrics,
         "summary": evaluate.evaluation_summary(metrics, metric, models),

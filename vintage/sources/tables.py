@@ -23,12 +23,13 @@ def read_raw(
     order_by: Sequence[str] = (),
     files_per_batch: int | None = None,
     partitions: int | None = None,
-    multi_line: bool = True,
+    multi_line: bool = False,
 ) -> DataFrame:
     """CSV or gzip CSV as a DataFrame, or as a stream with ``files_per_batch``.
 
     Only the header is read to plan: columns are text unless ``types`` names a
-    type, which is applied by ``try_cast``. Gzip files cannot be split, so they
+    type, which is applied by ``try_cast``. A plain file is split among tasks unless
+    its values hold line breaks (``multi_line``). Gzip files cannot be split, so they
     are spread over ``partitions`` tasks right after the read.
     """
     if nrows is not None and files_per_batch is not None:
@@ -133,10 +134,12 @@ def model_features(model: PipelineModel) -> list[str]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder the cluster names for checkpoints; a local one if unset."""
+    """The folder the cluster names for checkpoints; on a local master one of our own if unset."""
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if configured:
         return configured
+    if not spark.sparkContext.master.startswith("local"):
+        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
     made = tempfile.mkdtemp(prefix="vintage-")
     spark.sparkContext.setCheckpointDir(made)
     return made
