@@ -83,7 +83,7 @@ def rf_scored(spark, sf_dir):
 
 @query()
 def gbt_scored(spark, sf_dir):
-    return _fit_and_score(spark, sf_dir, "gradient_boosting", {"n_estimators": 20})
+    return _fit_and_score(spark, sf_dir, "gradient_boosting", {})
 
 
 @query()
@@ -123,13 +123,30 @@ def loan_model_metrics(spark, sf_dir):
     return result["metrics"]
 
 
+@query(
+    """SELECT 'labelled' AS kind, COUNT(*) AS "rows" FROM orders WHERE o_orderstatus IN ('F', 'P') UNION ALL
+       SELECT 'used', COUNT(*) FROM orders WHERE o_orderstatus IN ('F', 'P')"""
+)
+def retrain_row_counts(spark, sf_dir):
+    """Every labelled row is fitted on or scored, NULL features or not."""
+    rows = loans(spark, sf_dir)
+    spec = LoanSpec(labels=LABELS)
+    result = jobs.train_from_raw(rows, spec, "full", models=("logistic_regression",), tune=False)
+    trained = result["filled"].filter("split = 'train'").agg(F.sum("rows").alias("n"))
+    used = trained.unionAll(result["scored"].agg(F.count("*"))).agg(F.sum("n").alias("rows"))
+    labelled = split.map_labels(rows, spec.target, LABELS).agg(F.count("*").alias("rows"))
+    kind = lambda name, df: df.select(F.lit(name).alias("kind"), "rows")
+    return kind("labelled", labelled).unionAll(kind("used", used))
+
+
 @query()
 def scored_applications(spark, sf_dir):
     """Rows rejected by rule or for a NULL feature, and scored rows by class."""
     rows = loans(spark, sf_dir)
     inputs = ["loan_amnt", "int_rate", "dti", "annual_inc", "fico_midpoint", "issue_month"]
-    labelled = features.engineer_features(split.map_labels(rows, "loan_status", LABELS)).dropna(subset=inputs)
-    model = train.fit(labelled, "logistic_regression", inputs, "target")
+    labelled = features.engineer_features(split.map_labels(rows, "loan_status", LABELS))
+    fill = train.medians(labelled, inputs)
+    model = train.fit(labelled, "logistic_regression", inputs, "target", key=["id"], fill=fill)
     rules = [r for r in score.application_rules() if r.name in {*inputs, "fico_range_low", "fico_range_high"}]
     scored, rejected = jobs.score_applications(rows, model, rules, ["id"])
     outcome = scored.select(F.col("prediction").cast("string").alias("outcome")).unionByName(

@@ -84,6 +84,36 @@ def high_missing(spark, sf_dir):
     return rounded(profile.high_missing(orders_with_gaps(spark, sf_dir)), ["pct"])
 
 
+# Column w<i> is NULL in all rows but those whose key leaves a remainder below i.
+_WIDE = range(40)
+
+
+@query(" UNION ALL ".join(
+    f"""SELECT 'w{i}' AS "column", COUNT(*) FILTER (o_orderkey % 40 >= {i}) AS missing,
+        ROUND(CAST(COUNT(*) FILTER (o_orderkey % 40 >= {i}) AS DOUBLE) / COUNT(*) * 100, 6) AS pct FROM orders
+        HAVING COUNT(*) FILTER (o_orderkey % 40 >= {i}) * 2 > COUNT(*)"""
+    for i in _WIDE
+))
+def high_missing_wide(spark, sf_dir):
+    """All columns that are mostly missing, however many."""
+    key = F.col("o_orderkey")
+    wide = table(spark, sf_dir, "orders").select(*[F.when(key % 40 < i, key).alias(f"w{i}") for i in _WIDE])
+    return rounded(profile.high_missing(wide), ["pct"])
+
+
+@query(
+    f"""WITH {GAPS_SQL} SELECT 'hardship_type' AS "column" UNION ALL
+        SELECT 'cust' FROM g HAVING (COUNT(*) - COUNT(cust)) * 2 > COUNT(*)"""
+)
+def planned_cleaning(spark, sf_dir):
+    """What cleaning by the validation plan drops: a name by its keyword, and a mostly missing column."""
+    raw = orders_with_gaps(spark, sf_dir).withColumnRenamed("price", "hardship_type")
+    spec = LoanSpec(target="o_orderstatus", date="issued", row_key=("o_orderkey",))
+    cleaned, _ = jobs.clean_table(raw, spec, exclude=[spec.target, spec.date], plan=True)
+    gone = [c for c in raw.columns if c not in cleaned.columns]
+    return spark.createDataFrame([(c,) for c in gone], "column string")
+
+
 @query(
     f"""WITH {GAPS_SQL} SELECT priority AS value, COUNT(*) AS count,
         ROUND(CAST(COUNT(*) AS DOUBLE) / (SELECT COUNT(*) FROM g) * 100, 6) AS pct

@@ -16,20 +16,33 @@ from vintage.sources.tables import cut_lineage, model_features, write_split
 from vintage.spec import FieldRule, LoanSpec
 
 
+def planned_drops(df: DataFrame, spec: LoanSpec = LoanSpec(), keep: Sequence[str] = ()) -> list[str]:
+    """Columns that the validation plan drops: of high leakage risk by name, or mostly missing.
+
+    The target, the date, the row key and ``keep`` stay.
+    """
+    plan = profile.drop_plan(profile.leakage_by_name(df, spec), profile.high_missing(df))
+    stay = {spec.target, spec.date, *spec.row_key, *keep}
+    return sorted({r["column"] for r in plan.select("column").collect()} - stay)
+
+
 def clean_table(df: DataFrame, spec: LoanSpec = LoanSpec(), drop: Sequence[str] | None = None,
                 fit_on: str = "all", split_day: dt.date | None = None,
-                exclude: Sequence[str] = ()) -> tuple[DataFrame, dict[str, DataFrame]]:
+                exclude: Sequence[str] = (), plan: bool = False) -> tuple[DataFrame, dict[str, DataFrame]]:
     """Drop, impute, report outliers, fix types; the table and its reports.
 
+    ``plan`` drops what ``planned_drops`` finds in the table, besides ``drop`` (by default
+    the exact names of the specification).
+
     fit_on="all" takes imputation statistics from the whole table, as the
     published runs did; "train" takes them from rows before ``split_day``,
     which keeps test rows out of them. ``exclude`` names columns never filled,
     such as the target and the date.
     """
     before = df
-    dropped, drop_log = clean.drop_columns(
-        df, [*(spec.leakage if drop is None else drop), *spec.drop], "leakage and high missing values"
-    )
+    found = planned_drops(df, spec, exclude) if plan else []
+    names = dict.fromkeys([*(spec.leakage if drop is None else drop), *spec.drop, *found])
+    dropped, drop_log = clean.drop_columns(df, list(names), "leakage and high missing values")
     basis = None
     if fit_on == "train":
         if split_day is None:
@@ -145,13 +158,13 @@ def retrain(df: DataFrame, key: Sequence[str], label: str = "target", side: str
 
 
 def train_from_raw(raw: DataFrame, spec: LoanSpec = LoanSpec(), mode: str = "dev",
-                   **options) -> dict[str, object]:
-    """Clean, build features, fit or tune, evaluate and pick the best model.
+                   plan: bool = True, **options) -> dict[str, object]:
+    """Validate, drop by plan, clean, build features, fit or tune, evaluate and pick the best model.
 
     The target and the date are not imputed: a row without either is no
     training row.
     """
-    cleaned, reports = clean_table(raw, spec, exclude=[spec.target, spec.date])
+    cleaned, reports = clean_table(raw, spec, exclude=[spec.target, spec.date], plan=plan)
     kept = tuple(c for c in spec.excluded if c not in spec.row_key)
     made, more = build_features(cleaned, replace(spec, excluded=kept), mode)
     result = retrain(made, spec.row_key, **options)
