@@ -38,6 +38,8 @@ CLOSED_BY = {
     "tfoot": frozenset({"thead", "tbody", "tr", "td", "th"}),
     "body": frozenset({"head"}),
 }
+#: Names of elements that are no content even within an article.
+ASIDES = frozenset("ad ads advert advertisement banner comment comments cookie footer menu nav newsletter notice promo related replies share sidebar signup social sponsored widget".split())
 SCOPES = {"li": frozenset({"ul", "ol", "menu"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"})}
 SCOPES |= dict.fromkeys(("tr", "td", "th", "tbody", "thead", "tfoot"), frozenset({"table"}))
 
@@ -196,7 +198,8 @@ def own_labels(page: Page) -> list[bool] | None:
         return None
     out = [False] * len(page.tag)
     for n in range(1, len(page.tag)):
-        out[n] = page.tag[n] == "article" or (out[page.parent[n]] and page.tag[n] not in ("nav", "aside", "form", "footer"))
+        aside = page.tag[n] in ("nav", "aside", "form", "footer") or not ASIDES.isdisjoint(page.names[n])
+        out[n] = page.tag[n] == "article" or (out[page.parent[n]] and not aside)
     return out
 
 
