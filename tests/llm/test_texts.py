@@ -1,5 +1,6 @@
 """Language, quality, toxicity and tokens on small tables with odd rows."""
 
+import functools
 import hashlib
 
 import numpy as np
@@ -71,6 +72,7 @@ def test_language_matches_a_plain_model():
     codes = np.array([int.from_bytes(g, "big") for g in found])
     trees = language.context_trees(np.array(["x"] * len(found)), codes, np.array(list(found.values())))
 
+    @functools.cache
     def p(context, byte):
         n = {}
         for g, c in found.items():
