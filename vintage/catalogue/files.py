@@ -24,6 +24,19 @@ def csv_round_trip(spark, sf_dir):
     return _by_status(tables.read_raw(spark, path, _TYPES))
 
 
+@query(_BY_STATUS)
+def csv_gzip_round_trip(spark, sf_dir):
+    path = tables.write_table(table(spark, sf_dir, "orders"), tables.scratch_path(spark, "orders") + ".csv.gz")
+    return _by_status(tables.read_raw(spark, path, _TYPES))
+
+
+@query('SELECT \'orders\' AS name, COUNT(*) AS "rows" FROM orders UNION ALL SELECT \'lineitem\', COUNT(*) FROM lineitem')
+def file_rows(spark, sf_dir):
+    """Rows of all files of two tables."""
+    total = lambda name: tables.rows_per_file(table(spark, sf_dir, name)).agg(F.lit(name).alias("name"), F.sum("rows").alias("rows"))
+    return total("orders").unionAll(total("lineitem"))
+
+
 @query(_BY_STATUS)
 def parquet_round_trip(spark, sf_dir):
     path = tables.write_table(table(spark, sf_dir, "orders"), tables.scratch_path(spark, "orders"))

@@ -23,17 +23,19 @@ def read_raw(
     order_by: Sequence[str] = (),
     files_per_batch: int | None = None,
     partitions: int | None = None,
-    multi_line: bool = False,
+    multi_line: bool | None = None,
 ) -> DataFrame:
     """CSV or gzip CSV as a DataFrame, or as a stream with ``files_per_batch``.
 
     Only the header is read to plan: columns are text unless ``types`` names a
     type, which is applied by ``try_cast``. A plain file is split among tasks unless
-    its values hold line breaks (``multi_line``). Gzip files cannot be split, so they
+    ``multi_line`` says that values hold line breaks; for gzip files, which cannot be
+    split anyhow, that is the default. Gzip files cannot be split, so they
     are spread over ``partitions`` tasks right after the read.
     """
     if nrows is not None and files_per_batch is not None:
         raise ValueError("nrows and files_per_batch exclude each other")
+    multi_line = path.endswith(".gz") if multi_line is None else multi_line
     options = {"header": True, "escape": '"', "multiLine": multi_line}
     if files_per_batch is not None:
         names = spark.read.options(**options).csv(path).columns
@@ -46,7 +48,7 @@ def read_raw(
         )
     else:
         df = spark.read.options(**options).csv(path)
-        if path.endswith(".gz"):
+        if path.endswith(".gz") or any(f.endswith(".gz") for f in df.inputFiles()[:1]):
             df = df.repartition(partitions or spark.sparkContext.defaultParallelism)
     typed = {c: F.col(c).try_cast(t) for c, t in (types or {}).items() if c in df.columns}
     df = nan_to_null(df.withColumns(typed))
@@ -70,10 +72,11 @@ def read_table(spark: SparkSession, path: str, columns: Sequence[str] = ()) -> D
 
 
 def write_table(df: DataFrame, path: str, mode: str = "overwrite") -> str:
-    """Write CSV for a .csv path and Parquet otherwise; return the path used."""
+    """Write CSV for a .csv path, gzipped for .csv.gz, and Parquet otherwise; return the path used."""
     writer = df.write.mode(mode)
-    if path.endswith(".csv"):
-        writer.option("header", True).csv(path)
+    if path.endswith((".csv", ".csv.gz")):
+        packed = {"compression": "gzip"} if path.endswith(".gz") else {}
+        writer.options(header=True, **packed).csv(path)
         return path
     path = path if path.endswith(".parquet") else f"{path}.parquet"
     writer.parquet(path)
@@ -107,6 +110,11 @@ def file_metadata(spark: SparkSession, path: str) -> DataFrame:
     )
 
 
+def rows_per_file(df: DataFrame) -> DataFrame:
+    """Rows that each file of a file-based table holds."""
+    return df.groupBy(F.col("_metadata.file_name").alias("file_name")).agg(F.count("*").alias("rows"))
+
+
 def fingerprint(df: DataFrame) -> DataFrame:
     """Order-free table fingerprint in one pass, for version tracking."""
     h = row_hash(df, df.columns)
