@@ -57,8 +57,10 @@ MAX_DEPTH = 30
 UNMAPPED = frozenset({"min_samples_split"})
 
 
-#: Partitions that a fit reads. Bagging is seeded by partition, so this is part of a model's definition.
-PARTITIONS = 8
+#: Partitions that a fit reads unless told otherwise. Bagging is seeded by partition, so this is part of
+#: a model's definition; iterative fits pay for each on every step, so small tables take few and large
+#: ones should name as many as hold their rows.
+PARTITIONS = 2
 
 
 def dealt(df: DataFrame, key: Sequence[str], partitions: int = PARTITIONS) -> DataFrame:
