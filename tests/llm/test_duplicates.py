@@ -259,3 +259,20 @@ def test_leaks(spark, texts):
     assert kept.count() == sum(1 for k, t in rows if k not in got and not (k in want))
     assert decontaminate.decontaminate(docs, bench.limit(0)).where("contaminated").count() == 0
     assert decontaminate.decontaminate(docs.limit(0), bench).count() == 0
+
+
+def test_leaks_in_any_case(spark):
+    names = "Anna Berg met Carl Dorn. Emil Falk paid 9 euros."
+    few = "Paris, 12 May 1900: 30 kg, 40 km and 50 miles"
+    item = "A farmer sells 12 boxes of pears to Alice. How many boxes are left when Bob buys 5 of the others?"
+    bench = spark.createDataFrame([(1, item), (2, names), (3, few)], "item_id long, text string")
+    rows = [
+        (1, "READ THIS. " + item.upper() + " THANKS"),
+        (2, "notes (" + item.lower().replace(".", "").replace("?", "") + ") end"),
+        (3, "Then: " + names),
+        (4, "SO " + names.upper()),
+        (5, "It was in " + few + " they say"),
+        (7, "A farmer sells pears. How many boxes are left? Paris, 1900, was another place where Carl met Emil and paid 3 euros for all of it."),
+    ]
+    got = {r.doc_id: r.item_ids for r in decontaminate.decontaminate(frame(spark, rows), bench).collect()}
+    assert got == {1: [1], 2: [1], 3: [2], 4: [2], 5: [3], 7: []}

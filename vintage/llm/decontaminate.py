@@ -33,16 +33,17 @@ UNITS = frozenset(
 _TOKEN = re.compile(r"\d+(?:[.,]\d+)*|[^\W\d_]+|[.!?:\n]")
 WORD, CAPITAL, NUMBER, MARK, UNIT = range(5)
 _SLOT = {"number": 1, "name": 2, "unit": 3}
-_HITS = "row long, doc_id long, at long, window long, slots array<long>"
+_HITS = "row long, doc_id long, plain boolean, at long, window long, slots array<long>"
 
 
 class Vocabulary(dict):
-    """Numbers of tokens, with the hash and kind of each; made anew once it has grown large."""
+    """Numbers of tokens, with the hash, kind and case (1: has small letters, 2: capitals only) of each; made anew once it has grown large."""
 
     def __init__(self) -> None:
         super().__init__()
         self.hashes: list[int] = []
         self.kinds: list[int] = []
+        self.cases: list[int] = []
 
     def __missing__(self, token: str) -> int:
         low = token.lower()
@@ -57,6 +58,7 @@ class Vocabulary(dict):
         self[token] = number = len(self.hashes)
         self.hashes.append(fnv(low.encode(), 3))
         self.kinds.append(kind)
+        self.cases.append(int(token != token.upper()) + 2 * int(token.isupper() and len(token) > 1))
         return number
 
 
@@ -64,7 +66,9 @@ def templates(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarr
     """Tokens of all texts as templates: text, hash with typed placeholders, slot type (0: none), slot value.
 
     Numbers, units after numbers, and capitalised words that do not begin a sentence are
-    slots; a run of such words is one name.
+    slots; a run of such words is one name. Capitals tell no names in a sentence that has
+    nothing else. Two more arrays hold all words and numbers as they are, whatever their
+    case: text, hash.
     """
     found = [_TOKEN.findall(t or "") for t in texts]
     ids = np.array([n for f in found for n in map(vocabulary.__getitem__, f)], np.int64)
@@ -76,7 +80,13 @@ def templates(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarr
     slot = np.zeros(len(ids), np.int64)
     slot[kind == NUMBER] = _SLOT["number"]
     slot[(kind == UNIT) & (before == NUMBER)] = _SLOT["unit"]
-    slot[(kind == CAPITAL) & (before != MARK)] = _SLOT["name"]
+    case = np.array(vocabulary.cases, np.int64)[ids]
+    starts = kind == MARK
+    starts[1:] |= text[1:] != text[:-1]
+    sentence = np.cumsum(starts)
+    small, large = (np.bincount(sentence, case == c) for c in (1, 2))
+    shouted = ((small == 0) & (large > 1))[sentence] if len(ids) else starts
+    slot[(kind == CAPITAL) & (before != MARK) & ~shouted] = _SLOT["name"]
     runs_on = np.zeros(len(ids), bool)
     runs_on[1:] = (slot[1:] == _SLOT["name"]) & (slot[:-1] == _SLOT["name"]) & (text[1:] == text[:-1])
     keep = (kind != MARK) & ~runs_on
@@ -85,9 +95,11 @@ def templates(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarr
     value = np.zeros(int(group[-1]) + 1 if len(ids) else 0, np.uint64)
     np.add.at(value, group, hashes * (2 * place + 1).astype(np.uint64))
     value = value[group[keep]]
+    said = kind != MARK
+    plain = text[said], mix64(hashes[said] ^ np.uint64(0xA24BAED4963EE407))
     slot, hashes = slot[keep], hashes[keep]
     typed = np.where(slot > 0, mix64(slot.astype(np.uint64) + np.uint64(17)), hashes)
-    return text[keep], typed, slot, mix64(value + slot.astype(np.uint64))
+    return text[keep], typed, slot, mix64(value + slot.astype(np.uint64)), *plain
 
 
 def windows(text: np.ndarray, typed: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -104,10 +116,10 @@ def windows(text: np.ndarray, typed: np.ndarray, slot: np.ndarray, width: int) -
     return np.flatnonzero(good), mix64(total[good] + np.uint64(width))
 
 
-def _template_windows(rows: DataFrame, widths: list[int], bitmap=None) -> DataFrame:
-    """Windows (row, doc_id, at, window, slots) of rows (row, doc_id, text); at counts tokens from the text's begin.
+def _template_windows(rows: DataFrame, widths: list[tuple[bool, int]], bitmap=None) -> DataFrame:
+    """Windows (row, doc_id, plain, at, window, slots) of rows (row, doc_id, text); at counts tokens from the text's begin.
 
-    slots: type and place of each slot in turn with its value. With a bitmap only windows that it may hold.
+    widths: whether of plain words or of templates, and how many tokens. slots: type and place of each slot in turn with its value. With a bitmap only windows that it may hold.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -118,22 +130,25 @@ def _template_windows(rows: DataFrame, widths: list[int], bitmap=None) -> DataFr
             for lo, hi in passes(texts):
                 if len(vocabulary.hashes) > 300_000:
                     vocabulary = Vocabulary()
-                text, typed, slot, value = templates(texts[lo:hi], vocabulary)
-                first = np.searchsorted(text, np.arange(hi - lo))
-                for width in widths:
-                    at, hashed = windows(text, typed, slot, width)
+                text, typed, slot, value, words_text, words = templates(texts[lo:hi], vocabulary)
+                none = np.zeros(len(words), np.int64)
+                for plain, width in widths:
+                    own_text, own_slot = (words_text, none) if plain else (text, slot)
+                    first = np.searchsorted(own_text, np.arange(hi - lo))
+                    at, hashed = windows(own_text, words if plain else typed, own_slot, width)
                     if bits is not None:
                         key = (hashed >> np.uint64(64 - FILTER_BITS)).astype(np.int64)
                         own = (bits[key >> 3] >> (key & 7).astype(np.uint8)) & 1 == 1
                         at, hashed = at[own], hashed[own]
                     if len(at):
-                        slots = [value[a : a + width][slot[a : a + width] > 0].view(np.int64).tolist() for a in at]
+                        slots = [[] if plain else value[a : a + width][slot[a : a + width] > 0].view(np.int64).tolist() for a in at]
                         yield batch_of(
                             schema,
                             {
-                                "row": [rows_[lo + t] for t in text[at]],
-                                "doc_id": [ids[lo + t] for t in text[at]],
-                                "at": at - first[text[at]],
+                                "row": [rows_[lo + t] for t in own_text[at]],
+                                "doc_id": [ids[lo + t] for t in own_text[at]],
+                                "plain": [plain] * len(at),
+                                "at": at - first[own_text[at]],
                                 "window": hashed.view(np.int64),
                                 "slots": slots,
                             },
@@ -143,15 +158,16 @@ def _template_windows(rows: DataFrame, widths: list[int], bitmap=None) -> DataFr
 
 
 def _template_lengths(items: DataFrame) -> DataFrame:
-    """(item_id, row, tokens): how many template tokens each item has."""
+    """(row, plain, tokens): how many tokens each item has as plain words and as a template."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, vocabulary = arrow_schema("row long, tokens long"), Vocabulary()
+        schema, vocabulary = arrow_schema("row long, plain boolean, tokens long"), Vocabulary()
         for b in batches:
-            text = templates(b.column(1).to_pylist(), vocabulary)[0]
-            yield batch_of(schema, {"row": b.column(0), "tokens": np.bincount(text, minlength=b.num_rows)})
+            found = templates(b.column(1).to_pylist(), vocabulary)
+            for plain, text in ((False, found[0]), (True, found[4])):
+                yield batch_of(schema, {"row": b.column(0), "plain": [plain] * b.num_rows, "tokens": np.bincount(text, minlength=b.num_rows)})
 
-    return items.select("row", "text").mapInArrow(run, "row long, tokens long")
+    return items.select("row", "text").mapInArrow(run, "row long, plain boolean, tokens long")
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
@@ -162,18 +178,20 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     text and item that lie equally far apart in both form an alignment. It counts if each
     slot value of the item always meets the same value in the text, so that a question
     with other numbers or names counts as well as a verbatim one, and if the share of the
-    item's windows is found. An item shorter than a window is one window.
+    item's windows is found. An item shorter than a window is one window. Besides
+    templates, plain words are matched in the same way, without regard to case, marks and
+    slots, so that a verbatim item is found however it is written.
     """
     spark = docs.sparkSession
     bounded_batches(spark)
     items = cut(benchmark.where("text IS NOT NULL").select(F.xxhash64("item_id", "text").alias("row"), F.col("item_id").cast("long").alias("doc_id"), "text").distinct())
     lengths = cut(_template_lengths(items).where("tokens > 0").distinct())
-    widths = sorted(r[0] for r in lengths.select(F.least("tokens", F.lit(window)).alias("w")).distinct().collect())
+    widths = sorted((r[0], r[1]) for r in lengths.select("plain", F.least("tokens", F.lit(window)).alias("w")).distinct().collect())
     sized = items.join(lengths, "row")
     asked = None
-    for width in widths:  # only short items have a width of their own
-        own = sized.where(F.least("tokens", F.lit(window)) == width)
-        part = _template_windows(own, [width])
+    for plain, width in widths:  # only short items have a width of their own
+        own = sized.where((F.least("tokens", F.lit(window)) == width) & (F.col("plain") == plain))
+        part = _template_windows(own, [(plain, width)])
         asked = part if asked is None else asked.unionAll(part)
     keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     if asked is None:
@@ -184,8 +202,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     flags[buckets.column("k").to_numpy()] = 1
     bitmap = spark.sparkContext.broadcast(np.packbits(flags, bitorder="little").tobytes())
     seen = _template_windows(keyed, widths, bitmap)
-    of = asked.groupBy("row").agg(F.count("*").alias("of"))
-    wanted = asked.join(of, "row").select(F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots"), F.col("row").alias("item"), "of")
+    of = asked.groupBy("row", "plain").agg(F.count("*").alias("of"))
+    wanted = asked.join(of, ["row", "plain"]).select(F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots"), F.xxhash64("row", "plain").alias("item"), "of")
     met = seen.join(wanted, "window").withColumn("at", F.col("at") - F.col("item_at"))
     pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
     aligned = met.groupBy("row", "doc_id", "item", "item_id", "at", "of").agg(
