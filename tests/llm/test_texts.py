@@ -112,6 +112,18 @@ def test_toxicity(docs, labels):
     assert kept.count() == sum(not r.toxic for r in got)
 
 
+@pytest.mark.parametrize("clean", [2, 1])
+def test_toxicity_when_half_or_more_are_toxic(spark, clean):
+    rng = np.random.default_rng(4)
+    stems = ["the", "ing", "other", "shall", "with"]
+    rows = [(k, words(rng, stems, 30) + (" idiot scum" if k % 4 >= clean else ""), int(k % 4 >= clean)) for k in range(400)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, toxic int").cache()
+    chain = toxicity.fit(docs.select("doc_id", "text"), docs.select("doc_id", "toxic").where("doc_id < 320"))
+    got = {r.doc_id: r.toxic for r in toxicity.predict(docs, chain).collect()}
+    assert got == {k: bool(y) for k, _, y in rows}
+    assert toxicity.clean_documents(docs, chain).count() == 100 * clean
+
+
 def test_toxicity_without_labels(docs, labels):
     chain = toxicity.fit(docs, labels.limit(0))
     assert not any(r.toxic for r in toxicity.predict(docs, chain).collect())

@@ -92,8 +92,8 @@ def _chosen(rows: list[set[str]], features: dict[int, int], known: Features) ->
 def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int = SAMPLE, features: int = FEATURES) -> Chain:
     """Fit the chain on at most sample labelled texts.
 
-    Features are those that toxic texts have most in excess of their share (by the gain in
-    log-likelihood). Each model but the first also gets the log-odds of the categories
+    Features are those whose odds of being in a toxic text are over twice those of any
+    text, which some reach at any share of toxic labels; the best by gain in log-likelihood stay. Each model but the first also gets the log-odds of the categories
     before it; in training these are out-of-fold, so that a later model sees them as
     wrong as they will be. The threshold is the one of best F1 out of fold.
     """
@@ -106,7 +106,7 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "toxic", sample: int =
     gain = part(F.col("toxic"), p, share) + part(F.col("n") - F.col("toxic"), 1 - p, 1 - share)
     best = (
         _feature_counts(taken)
-        .where((F.col("n") >= LEAST_TEXTS) & (p > 2 * share))
+        .where((F.col("n") >= LEAST_TEXTS) & (F.col("toxic") * (1 - share) > 2 * share * (F.col("n") - F.col("toxic"))))
         .select("feature", gain.alias("gain"))
         .where("gain > 3")
         .orderBy(F.desc("gain"), "feature")
