@@ -43,7 +43,19 @@ def cut(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{shared_folder(spark).rstrip('/')}/llm-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out._cut_path = path
+    return out
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete tables that cut() wrote; nothing may read them any more."""
+    for df in tables:
+        path = getattr(df, "_cut_path", None)
+        if path:
+            jvm, conf = df.sparkSession._jvm, df.sparkSession._jsparkSession.sessionState().newHadoopConf()
+            where = jvm.org.apache.hadoop.fs.Path(path)
+            where.getFileSystem(conf).delete(where, True)
 
 
 def row_key() -> Column:

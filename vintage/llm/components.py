@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import cut
+from vintage.llm.common import cut, discard
 
 
 def _toward_least(links: DataFrame) -> DataFrame:
@@ -48,7 +48,8 @@ def components(edges: DataFrame, max_rounds: int = 100) -> DataFrame:
     """
     now = cut(edges.select("u", "v").where("u <> v").distinct())
     for _ in range(max_rounds):
-        now = cut(_small_star(_large_star(now)))
+        last, now = now, cut(_small_star(_large_star(now)))
+        discard(last)
         roots = now.select(F.col("v").alias("u"), F.lit(1).alias("root")).distinct()
         seen = now.groupBy("u").agg(F.count("*").alias("n"))
         open_ = seen.join(roots, "u", "left").where("n > 1 OR root = 1").limit(1)

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from vintage.llm import decontaminate, language, lines, neighbours, pages, quality, simhash, suffixes, tokens, toxicity
+from vintage.llm import conversations, decontaminate, jaccard, language, lines, negatives, neighbours, pages, quality, simhash, suffixes, tokens, toxicity
 from vintage.llm.common import load
 
 
@@ -63,6 +63,20 @@ def op10_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pages.extract(table, pages.fit(table))
 
 
+def op11_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard.similar_documents(load(spark, sf_dir, "documents"), words=4, percent=85)
+
+
+def op12_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conversations.conversation_tree(load(spark, sf_dir, "conversations"))
+
+
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = load(spark, sf_dir, "embeddings").withColumn("label", label)
+    return negatives.hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
 QUERIES = {
     "op1_language": op1_language,
     "op2_simhash": op2_simhash,
@@ -74,6 +88,14 @@ QUERIES = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_neighbours": op9_neighbours,
     "op10_html": op10_html,
+    "op11_ngram_join": op11_ngram_join,
+    "op12_conversation_trie": op12_conversation_trie,
+    "op13_hard_negatives": op13_hard_negatives,
 }
 
-ORACLES: dict[str, str] = {"op6_line_dedup": lines.ORACLE}
+ORACLES: dict[str, str] = {
+    "op6_line_dedup": lines.ORACLE,
+    "op11_ngram_join": jaccard.ORACLE,
+    "op12_conversation_trie": conversations.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
+}
