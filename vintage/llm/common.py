@@ -63,6 +63,20 @@ def row_key() -> Column:
     return F.xxhash64(F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), "text")
 
 
+def row_keys(first: str = "k1", second: str = "k2") -> list[Column]:
+    """128 bits that tell rows apart by id and text; equal rows are one document."""
+    parts = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), F.col("text")]
+    return [F.xxhash64(*parts).alias(first), F.xxhash64(F.lit("second"), *parts).alias(second)]
+
+
+def unused(taken: Iterable[str], stem: str) -> str:
+    """A column name that is not taken, in any case."""
+    names = {c.lower() for c in taken}
+    while stem.lower() in names:
+        stem += "_"
+    return stem
+
+
 def partitions(total: int, each: int) -> int:
     return max(1, -(-int(total) // each))
 

@@ -7,10 +7,10 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64, partitions, runs
+from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, discard, mix64, partitions, row_keys, runs
 from vintage.llm.components import components
 
 #: Codes that one bucket of the count holds, about.
@@ -19,18 +19,13 @@ BUCKET_CODES = 1 << 20
 PATH = 32
 #: Sets in one tree; a larger group becomes several trees that cover all its pairs.
 TREE_SETS = 2048
-#: Rounds in which each set is compared with one neighbour in the tree before the whole join.
-ROUNDS = 4
+#: Neighbours in the tree with which each set is compared before the trees are joined, and places after it at which they are looked for.
+NEAR = 6
+PLACES = (1, 2, 3)
 
 _PIECE = "piece long, doc_id array<long>, k1 array<long>, k2 array<long>, cls array<string>, n array<long>, owner binary, codes binary"
 
 
-def row_keys() -> list[Column]:
-    """128 bits that tell rows apart by id and text; equal rows are one document."""
-    parts = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-1)), F.col("doc_id").isNull(), F.col("text")]
-    return [F.xxhash64(*parts).alias("k1"), F.xxhash64(F.lit("second"), *parts).alias("k2")]
-
-
 def set_codes(text: str | None, words: int) -> np.ndarray:
     """Sorted 64-bit codes of the distinct shingles; with fewer words, of the whole sequence."""
     import xxhash
@@ -139,10 +134,28 @@ def shared_counts(pieces: DataFrame) -> DataFrame:
         if held:
             yield from flush()
 
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = arrow_schema("piece long, at int, shared long")
+        total, now = np.zeros(1 << 15, np.int64), None
+
+        def flush() -> pa.RecordBatch:
+            at = np.flatnonzero(total)
+            out = batch_of(schema, {"piece": [now] * len(at), "at": at.astype(np.int32), "shared": total[at]})
+            total[at] = 0
+            return out
+
+        for b in batches:
+            for k, piece in enumerate(b.column(0).to_pylist()):
+                if piece != now and now is not None:
+                    yield flush()
+                now = piece
+                total[b.column(1)[k].values.to_numpy()] += b.column(2)[k].values.to_numpy()
+        if now is not None:
+            yield flush()
+
     dealt = pieces.select("piece", "owner", "codes").mapInArrow(deal, "bucket int, piece long, owner binary, residue binary")
     counted = dealt.repartition(n, "bucket").sortWithinPartitions("bucket").mapInArrow(count, "piece long, at array<int>, shared array<long>")
-    flat = counted.select("piece", F.inline(F.arrays_zip("at", "shared")))
-    return flat.groupBy("piece", "at").agg(F.sum("shared").alias("shared"))
+    return counted.repartition(n, "piece").sortWithinPartitions("piece").mapInArrow(add, "piece long, at int, shared long")
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
@@ -178,17 +191,15 @@ def _enough(shared: Column, n1: Column, n2: Column, percent: int) -> Column:
     return shared * (100 + percent) >= (n1 + n2) * percent
 
 
-def _neighbours(posts: DataFrame, percent: int, away: int) -> DataFrame:
-    """For each set the one pair (u, v) with another root that is so many places after it under most keys."""
-    from pyspark.sql import Window
-
-    following = F.lead(F.struct("cls", "root", "n", "rest"), away).over(Window.partitionBy("key").orderBy("path", "cls"))
-    beside = posts.withColumn("next", following).where("next.root <> root")
+def _neighbours(posts: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v): for each set those that come soon after it in the trees of the most keys."""
+    order = Window.partitionBy("key").orderBy("path", "cls")
+    after = F.array(*[F.lead(F.struct("cls", "n", "rest"), k).over(order) for k in PLACES])
+    beside = posts.select("cls", "n", "rest", after.alias("after")).select("cls", "n", "rest", F.explode("after").alias("next"))
     beside = beside.where(_enough(F.least("rest", "next.rest") + 1, F.col("n"), F.col("next.n"), percent))
-    both = beside.select(F.col("cls").alias("u"), F.col("next.cls").alias("v"))
-    votes = both.groupBy("u", "v").agg(F.count("*").alias("votes"))
-    best = votes.groupBy("u").agg(F.max(F.struct("votes", "v")).alias("best"))
-    return best.select("u", F.col("best.v").alias("v"))
+    votes = beside.groupBy(F.col("cls").alias("u"), F.col("next.cls").alias("v")).agg(F.count("*").alias("votes"))
+    best = votes.groupBy("u").agg(F.slice(F.sort_array(F.collect_list(F.struct("votes", "v")), asc=False), 1, NEAR).alias("best"))
+    return best.select("u", F.explode("best.v").alias("v"))
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -310,9 +321,9 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
 
     Sets that show too few codes that others show as well are done. Of the others one of
     each class is read again; its codes are ordered by rarity and it is posted under the
-    rarest of them. In each key's prefix tree a set is first compared with a neighbour, for
-    some rounds, so that groups of copies become one component by about as many comparisons
-    as they have members; then the trees are joined for what lies in different components.
+    rarest of them. A set is first compared with a few neighbours in its keys' prefix trees,
+    so that most of a group of copies becomes one component by comparisons in proportion to
+    its members; then the trees are joined for all that lies in different components.
     """
     pieces = cut(pieces_of(docs, words, percent))
     rows = pieces.select("piece", F.posexplode(F.arrays_zip("doc_id", "k1", "k2", "cls", "n")).alias("at", "row")).select("piece", "at", "row.*")
@@ -321,25 +332,17 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     wanted = shown.groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("row")).select("cls", "row.*")
     sets = cut(_sets(docs, wanted, words))
     posts = cut(postings(sets, percent))
-    links, roots = None, None
-
-    def rooted() -> DataFrame:
-        if roots is None:
-            return posts.withColumn("root", F.col("cls"))
-        return posts.join(roots, posts["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
-
-    for round_ in range(ROUNDS + 1):
-        now = rooted()
-        pairs = cut(_neighbours(now, percent, round_ + 1) if round_ < ROUNDS else _tree_join(now, percent))
-        found = cut(_similar(pairs, sets, percent))
-        if found.take(1):
-            links = found if links is None else links.unionAll(found)
-            roots = cut(components(links))
+    near = cut(_similar(_neighbours(posts, percent), sets, percent))
+    roots = cut(components(near))
+    rooted = posts.join(roots, posts["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
+    more = cut(_similar(_tree_join(rooted, percent), sets, percent))
+    discard(posts, sets)
+    if more.take(1):
+        roots = components(near.unionAll(more))
     ids = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
-    if roots is not None:
-        ids = ids.join(roots, ids["cls"] == roots["node"], "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
-        named = ids.groupBy("root").agg(F.min("least").alias("named"))
-        ids = ids.join(named, "root").select("cls", F.col("named").alias("least"))
+    ids = ids.join(roots, ids["cls"] == roots["node"], "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
+    named = ids.groupBy("root").agg(F.min("least").alias("named"))
+    ids = ids.join(named, "root").select("cls", F.col("named").alias("least"))
     found = rows.join(ids, "cls", "left")
     return found.select("doc_id", F.col("n").alias("n_shingles"), F.when(F.col("n") > 0, F.col("least")).otherwise(F.col("doc_id")).alias("component_id"))
 

@@ -18,6 +18,8 @@ BLOCK = 1 << 14
 #: Entries of each list that the steps of sorted access read up to; the last step reads what is left.
 DEPTHS = (16, 128)
 
+#: Scores beyond what a long holds are given as this.
+MOST = 2**63 - 1
 _SCORED = "anchor long, window int, vec_id long, score long"
 
 
@@ -126,7 +128,7 @@ def _searched(rows: DataFrame, anchors: list[dict], same: bool) -> DataFrame:
         if size:
             block()
         for a in range(0, len(own), 1000):
-            flat = [(x["at"], w, i, s) for x in own[a : a + 1000] for w, best in enumerate(x["kept"]) for s, i in best]
+            flat = [(x["at"], w, i, min(max(s, -MOST), MOST)) for x in own[a : a + 1000] for w, best in enumerate(x["kept"]) for s, i in best]
             yield batch_of(schema, dict(zip(("anchor", "window", "vec_id", "score"), zip(*flat, strict=True), strict=True)) if flat else {c: [] for c in ("anchor", "window", "vec_id", "score")})
 
     return rows.select("vec_id", "label", "v").mapInArrow(run, _SCORED)
@@ -144,13 +146,14 @@ def _first(found: DataFrame, k: int) -> DataFrame:
 def hard_negatives(vectors: DataFrame, anchor: Column, positives: int = 5, negatives: int = 10, least: int = 30, most: int = 90, vector: str = "embedding") -> DataFrame:
     """Per anchor and positive, the first negatives whose score is least to most per cent of the positive's.
 
-    vectors: vec_id, label, an array of numbers, any others; anchor: which rows are anchors.
+    vectors: vec_id, label, an array of numbers, any others; anchor: which rows are anchors, by F.col("vec_id") and F.col("label").
     Returns (anchor_id, positive_id, rank, negative_id, positive_score, negative_score).
     A score is the integer inner product of floor(256 x) with the anchor's; higher ones come
     first, ties by vec_id. Positives are the first other rows of the anchor's label, other
     meaning another vec_id; negatives have another label. Rows with a NULL id, label or
     vector, or any component that is NULL or not finite, take no part, and rows meet only
-    those of their own length. Repeated rows count each, as anchors as well. Anchors without
+    those of their own length. Repeated rows count each, as anchors as well. Scores
+    beyond 64 bits are given as the largest ones. Anchors without
     a positive, and positives without a negative, have no rows; so has an empty table.
 
     Anchors are a stated query set against all rows: they go to the executors in blocks of

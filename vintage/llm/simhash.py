@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -10,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64, row_key, runs
+from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, discard, row_keys, runs, unused
 from vintage.llm.components import components
 
 #: Bits of a fingerprint that may differ within a link, and segments of the ring.
@@ -47,17 +46,18 @@ def fingerprint_of(hashes: np.ndarray) -> int:
     return int(np.packbits((2 * counts > len(hashes)).ravel(), bitorder="little").view("<i8")[0])
 
 
-def fingerprints(docs: DataFrame, words: int = 3) -> DataFrame:
-    """(doc_id, fp) of each row; fp is a signed 64-bit number. A NULL or wordless text has fp 0."""
+def fingerprints(docs: DataFrame, words: int = 3, keys: bool = False) -> DataFrame:
+    """(doc_id, fp) of each row, with keys also the row's (k1, k2); fp is a signed 64-bit number, 0 without words."""
     bounded_batches(docs.sparkSession)
+    out = "doc_id long, fp long" + ", k1 long, k2 long" * keys
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("doc_id long, fp long")
+        schema = arrow_schema(out)
         for b in batches:
             fps = [fingerprint_of(shingle_hashes(t, words)) for t in b.column(1).to_pylist()]
-            yield batch_of(schema, {"doc_id": b.column(0), "fp": fps})
+            yield batch_of(schema, {"doc_id": b.column(0), "fp": fps} | ({"k1": b.column(2), "k2": b.column(3)} if keys else {}))
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), "text", *(row_keys() if keys else [])).mapInArrow(run, out)
 
 
 def _piece(fp: str, start: int, width: int) -> str:
@@ -203,226 +203,23 @@ def near_duplicates(docs: DataFrame, words: int = 3) -> DataFrame:
     )
 
 
-#: Samples of a text's shingles whose SimHash is compared exactly, and shingles in each (their bits' majority).
-SKETCHES = 8
-SAMPLED = 3
-#: Bits that a shingle has in the table of frequencies, chunks in which tasks send their tables, rows handled at once.
-COUNT_BITS = 20
-COUNT_CHUNKS = 16
-MEET_ROWS = 1 << 16
-_MARKED = "row long, doc_id long, cls long, size int, sketches array<long>, prefix array<long>"
+def one_of_each(docs: DataFrame, words: int = 3) -> DataFrame:
+    """Rows of docs, all columns: of each component of near_duplicates the row of the least doc_id.
 
-
-def sketches_of(hashes: np.ndarray, sketches: int = SKETCHES) -> np.ndarray:
-    """SimHash of the SAMPLED shingles that come first in each of so many orders of the shingles."""
-    seeds = np.arange(1, sketches + 1, dtype=np.uint64)[:, None] * np.uint64(0xD1B54A32D192ED03)
-    keys = mix64(np.unique(hashes)[None, :] ^ seeds)
-    if keys.shape[1] < SAMPLED:
-        keys = np.concatenate([keys] * SAMPLED, 1)
-    a, b, c = np.partition(keys, SAMPLED - 1, axis=1)[:, :SAMPLED].T
-    return ((a & b) | (a & c) | (b & c)).view(np.int64)
-
-
-def shingle_frequencies(docs: DataFrame, words: int = 5) -> np.ndarray:
-    """How many shingles of all texts fall on each bucket of COUNT_BITS bits of their hash."""
-    bounded_batches(docs.sparkSession)
-    width = (1 << COUNT_BITS) // COUNT_CHUNKS
-
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, total = arrow_schema("chunk int, counts binary"), np.zeros(1 << COUNT_BITS, np.int64)
-        for b in batches:
-            found = [shingle_hashes(t, words) for t in b.column(0).to_pylist()]
-            np.add.at(total, _bucket(np.concatenate([*found, np.empty(0, np.uint64)])), 1)
-        own = [k for k in range(COUNT_CHUNKS) if total[k * width : (k + 1) * width].any()]
-        yield batch_of(schema, {"chunk": own, "counts": [zlib.compress(total[k * width : (k + 1) * width].tobytes(), 1) for k in own]})
-
-    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema, total = arrow_schema("chunk int, counts binary"), {}
-        for b in batches:
-            for k, packed in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), strict=True):
-                total[k] = total.get(k, 0) + np.frombuffer(zlib.decompress(packed), np.int64)
-        for k, counts in total.items():
-            yield batch_of(schema, {"chunk": [k], "counts": [counts.tobytes()]})
-
-    summed = docs.select("text").mapInArrow(count, "chunk int, counts binary").repartition(COUNT_CHUNKS, "chunk").mapInArrow(add, "chunk int, counts binary")
-    out = np.zeros((COUNT_CHUNKS, width), np.int64)
-    for r in summed.toArrow().to_pylist():
-        out[r["chunk"]] = np.frombuffer(r["counts"], np.int64)
-    return out.ravel()
-
-
-def _bucket(hashes: np.ndarray) -> np.ndarray:
-    return (hashes >> np.uint64(64 - COUNT_BITS)).astype(np.int64)
-
-
-def prefix_lengths(size: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """How many of its rarest shingles a set is looked up by, and how many of them it is found by.
-
-    Sets of Jaccard similarity least share one among the former of the larger set and the
-    latter of the smaller, in any order of shingles that all sets have in common.
-    """
-    need = lambda part: np.ceil(part * size - 1e-6).astype(np.int64)
-    return size - need(least) + 1, size - need(2 * least / (1 + least)) + 1
-
-
-def meeting(key: np.ndarray, cls: np.ndarray, root: np.ndarray, size: np.ndarray, at: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray]:
-    """Pairs of classes with different roots that may be similar, given that they share a rare shingle.
-
-    Rows are in the order of key, size, cls; key and at are a shingle and its place among
-    the class's shingles, rarest first. At the first shingle that two sets share, the rest
-    of both bounds how many they share at most.
-    """
-    by = at < prefix_lengths(size, least)[1]
-    us, vs = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
-
-    def take(i: np.ndarray, j: np.ndarray) -> None:
-        both = np.minimum(size[i] - at[i], size[j] - at[j]) + np.minimum(at[i], at[j])
-        good = by[i] & (root[i] != root[j]) & (size[i] >= least * size[j] - 1e-6) & ((1 + least) * both >= least * (size[i] + size[j]) - 1e-6)
-        us.append(cls[i[good]])
-        vs.append(cls[j[good]])
-
-    starts, ends = runs(key)
-    if not len(starts):
-        return us[0], vs[0]
-    mixed = np.minimum.reduceat(root, starts) != np.maximum.reduceat(root, starts)
-    large = mixed & (ends - starts > 64)
-    for a, b in zip(starts[large], ends[large], strict=True):
-        _, number = np.unique(root[a:b], return_inverse=True)
-        every = np.arange(a, b)
-        for k in every[number != np.bincount(number).argmax()]:  # the others with all, not the most common root with itself
-            take(every[: k - a], np.full(k - a, k))
-            take(np.full(b - k - 1, k), every[k - a + 1 :])
-    i = np.flatnonzero(np.repeat(mixed & ~large, ends - starts))
-    end = np.repeat(ends, ends - starts)
-    for step in range(1, 64):
-        i = i[i + step < end[i]]
-        if not len(i):
-            break
-        take(i, i + step)
-    return np.concatenate(us), np.concatenate(vs)
-
-
-def _meetings(posts: DataFrame, least: float) -> DataFrame:
-    """Pairs (u, v) of classes that share a rare shingle and may be similar. posts: key, cls, root, size, at."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("u long, v long")
-        held, rows = [], 0
-
-        def joined() -> list[np.ndarray]:
-            return [np.concatenate([h[c] for h in held]) for c in range(5)]
-
-        for b in batches:
-            held.append([b.column(c).to_numpy() for c in range(5)])
-            rows += b.num_rows
-            if rows >= MEET_ROWS:
-                full = joined()
-                last = int(np.searchsorted(full[0], full[0][-1]))  # the last key may go on
-                u, v = meeting(*(c[:last] for c in full), least)
-                yield batch_of(schema, {"u": u, "v": v})
-                held, rows = [[c[last:] for c in full]], 0
-        if held:
-            u, v = meeting(*joined(), least)
-            yield batch_of(schema, {"u": u, "v": v})
-
-    n = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return posts.repartition(n, "key").sortWithinPartitions("key", "size", "cls").mapInArrow(run, "u long, v long").distinct()
-
-
-def _checked(pairs: DataFrame, classes: DataFrame, keyed: DataFrame, words: int, least: float) -> DataFrame:
-    """Those of pairs (u, v) of classes whose whole sets of shingles are similar."""
-
-    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("cls long, hashes binary")
-        for b in batches:
-            found = [np.unique(shingle_hashes(t, words) & np.uint64(0xFFFFFFFF)).astype(np.uint32).tobytes() for t in b.column(1).to_pylist()]
-            yield batch_of(schema, {"cls": b.column(0), "hashes": found})
-
-    wanted = pairs.select(F.col("u").alias("cls")).unionAll(pairs.select(F.col("v").alias("cls"))).distinct()
-    wanted = cut(classes.select("cls", F.col("row").alias("_row")).join(wanted, "cls"))
-    texts = keyed.join(wanted, F.col("row") == F.col("_row")).select("cls", "text")
-    known = cut(texts.mapInArrow(sets, "cls long, hashes binary").groupBy("cls").agg(F.first("hashes").alias("hashes")))
-
-    def check(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("u long, v long")
-        for b in batches:
-            good = []
-            for x, y in zip(b.column(2).to_pylist(), b.column(3).to_pylist(), strict=True):
-                p, q = np.frombuffer(x, np.uint32), np.frombuffer(y, np.uint32)
-                both = len(np.intersect1d(p, q, assume_unique=True))
-                good.append(both >= least * (len(p) + len(q) - both))
-            yield batch_of(schema, {"u": b.column(0).filter(pa.array(good, pa.bool_())), "v": b.column(1).filter(pa.array(good, pa.bool_()))})
-
-    sided = pairs.join(known.select(F.col("cls").alias("u"), F.col("hashes").alias("x")), "u")
-    sided = sided.join(known.select(F.col("cls").alias("v"), F.col("hashes").alias("y")), "v").select("u", "v", "x", "y")
-    return sided.mapInArrow(check, "u long, v long")
-
-
-def similar_classes(docs: DataFrame, words: int = 5, least: float = 0.8) -> tuple[DataFrame, DataFrame]:
-    """Rows (row, doc_id, cls) and components (node, root) of classes whose texts are similar.
-
-    A class holds texts of the same words. Two classes are linked if the Jaccard similarity
-    of their sets of shingles is least or more. First, classes with an equal SimHash of a
-    small sample of their shingles are compared with the one of them that shares most
-    samples, so that a group of n near copies takes n comparisons. Then all classes that
-    this left in different components meet under their rarest shingles: similar sets share
-    one of these (prefix_lengths), so no pair is lost, while what a template has in common
-    is frequent and meets nowhere. Shingles are ranked by a table of bounded size that
-    only decides how many pairs meet in vain. Every pair is checked on the whole sets.
-    """
-    spark = docs.sparkSession
-    shared_counts = spark.sparkContext.broadcast(shingle_frequencies(docs, words).astype(np.uint32))
-
-    def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        import xxhash
-
-        schema, counts = arrow_schema(_MARKED), shared_counts.value
-        for b in batches:
-            out: dict[str, list] = {"cls": [], "size": [], "sketches": [], "prefix": []}
-            for text in b.column(2).to_pylist():
-                own = np.unique(shingle_hashes(text, words))
-                same = b" ".join((text or "").encode().lower().split())
-                out["cls"].append(xxhash.xxh64_intdigest(same, 23) - (1 << 63))
-                out["size"].append(len(own))
-                out["sketches"].append(sketches_of(own) if len(own) else [])
-                rarest = np.argsort(counts[_bucket(own)], kind="stable")
-                out["prefix"].append(own[rarest[: int(prefix_lengths(np.array(len(own)), least)[0])]].view(np.int64) if len(own) else [])
-            yield batch_of(schema, {"row": b.column(0), "doc_id": b.column(1), **out})
-
-    keyed = docs.select(row_key().alias("row"), F.col("doc_id").cast("long").alias("doc_id"), "text")
-    marked = cut(keyed.mapInArrow(mark, _MARKED))
-    first = F.max_by(F.struct("size", "sketches", "prefix"), "row").alias("first")
-    classes = cut(marked.groupBy("cls").agg(F.max("row").alias("row"), first).select("cls", "row", "first.*"))
-    sampled = classes.select("cls", F.posexplode("sketches").alias("j", "sketch")).select("cls", F.xxhash64("j", "sketch").alias("key"))
-    sizes = cut(sampled.groupBy("key").agg(F.count("*").alias("size")).where("size > 1"))
-    shared = cut(sampled.join(sizes, "key"))
-    central = shared.groupBy("cls").agg(F.sum("size").alias("score"))
-    leaders = cut(shared.join(central, "cls").groupBy("key").agg(F.max(F.struct("score", "cls")).alias("lead")).select("key", F.col("lead.cls").alias("v")))
-    stars = cut(shared.join(leaders, "key").where("cls <> v").select(F.col("cls").alias("u"), "v").distinct())
-    edges = cut(_checked(stars, classes, keyed, words, least))
-    roots = cut(components(edges))
-    rooted = classes.join(roots, classes["cls"] == roots["node"], "left")
-    posts = rooted.select("cls", F.coalesce("root", "cls").alias("root"), "size", F.posexplode("prefix").alias("at", "key"))
-    pairs = cut(_meetings(posts.select("key", "cls", "root", "size", "at"), least))
-    if pairs.take(1):
-        more = cut(_checked(pairs, classes, keyed, words, least))
-        if more.take(1):
-            roots = components(edges.unionAll(more))
-    return marked.select("row", "doc_id", "cls"), roots
-
-
-def one_of_each(docs: DataFrame, words: int = 5, least: float = 0.8) -> DataFrame:
-    """Rows of docs, all columns: of each group of similar texts the row of the least doc_id.
-
-    Rows without a doc_id stay only where no row of their group has one; ties go to the
-    least hash of id and text, and of equal rows one stays. Texts without words are one
-    group. Empty tables give none.
+    Rows without a doc_id stay only where no row of their component has one; ties go to the
+    least hash of id and text, and of equal rows one stays. NULL and wordless texts are one
+    component, with all that link to fingerprint zero. Empty tables give none.
     """
-    rows, roots = similar_classes(docs, words, least)
-    placed = rows.join(roots, rows["cls"] == roots["node"], "left").select("row", "doc_id", F.coalesce("root", "cls").alias("root"))
-    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row")
-    stay = cut(placed.groupBy("root").agg(F.min(order).alias("first")).select(F.col("first.row").alias("_kept_row")))
-    kept = docs.join(stay, row_key() == F.col("_kept_row"), "left_semi")
-    if rows.groupBy("row").count().where("count > 1").take(1):
-        kept = kept.withColumn("_kept_row", row_key()).dropDuplicates(["_kept_row"]).drop("_kept_row")
-    return kept
+    marked = cut(fingerprints(docs, words, keys=True))
+    distinct = cut(marked.select("fp").distinct())
+    roots = components(links(distinct))
+    rooted = marked.join(roots, marked["fp"] == roots["node"], "left")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "k1", "k2")
+    names = [unused(docs.columns, "k1"), unused(docs.columns, "k2")]
+    first = rooted.groupBy(F.coalesce("root", "fp").alias("root")).agg(F.min(order).alias("first"))
+    stay = cut(first.select(F.col("first.k1").alias(names[0]), F.col("first.k2").alias(names[1])))
+    kept = docs.withColumns(dict(zip(names, row_keys(), strict=True))).join(stay, names, "left_semi")
+    if marked.groupBy("k1", "k2").count().where("count > 1").take(1):
+        kept = kept.dropDuplicates(names)
+    discard(marked, distinct)
+    return kept.select(*[F.col(f"`{c}`") for c in docs.columns])
