@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from vintage.llm import decontaminate, lines, simhash, tokens, toxicity
 from vintage.llm.common import cut, load
 
-TOKENIZER = public_tokenizers.path("byte_bpe_50k.json")
+TOKENIZER = "byte_bpe_50k.json"
 
 
 def drop_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -27,8 +26,8 @@ def drop_repeated_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Da
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group whose five-word shingles are similar by 0.8 or more."""
-    return simhash.one_of_each(docs, words=5, least=0.8)
+    """One document of each group that links of three bits between SimHashes of three-word shingles connect."""
+    return simhash.one_of_each(docs, words=3)
 
 
 def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -38,7 +37,9 @@ def drop_benchmark(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of the ids and of the decoded texts."""
-    coded = tokens.encode_decode(docs, TOKENIZER)
+    import public_tokenizers
+
+    coded = tokens.encode_decode(docs, public_tokenizers.path(TOKENIZER))
     return coded.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
 
 
