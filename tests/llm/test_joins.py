@@ -80,6 +80,7 @@ def test_trees_rule_out_no_similar_pair():
     rng = np.random.default_rng(2)
     bases = rng.choice(300, (5, 50))
     sets = [sorted({*rng.choice(bases[k % 5], int(rng.integers(40, 50)), replace=False), *rng.choice(300, int(rng.integers(0, 6)))}) for k in range(200)]
+    maps = np.stack([jaccard.map_of(np.array(own, np.uint64)) for own in sets])
     for width in (2, 8, 64):
         for roots in (np.arange(200), np.arange(200) // 40):
             found = set()
@@ -87,7 +88,7 @@ def test_trees_rule_out_no_similar_pair():
                 own = sorted((s[s.index(key) + 1 :][:width], k) for k, s in enumerate(sets) if key in s)
                 who = [k for _, k in own]
                 n, rest = np.array([len(sets[k]) for k in who]), np.array([len(sets[k]) - sets[k].index(key) - 1 for k in who])
-                found |= {tuple(sorted((who[x], who[y]))) for x, y in jaccard.tree_pairs([p for p, _ in own], n, rest, roots[who], 85)}
+                found |= {tuple(sorted((who[x], who[y]))) for x, y in jaccard.tree_pairs([p for p, _ in own], n, rest, roots[who], maps[who], 85)}
             near = {(a, b) for a in range(200) for b in range(a + 1, 200) if roots[a] != roots[b] and 100 * len({*sets[a]} & {*sets[b]}) >= 85 * len({*sets[a]} | {*sets[b]})}
             assert near <= found
     assert near and len(found) < 200 * 199 / 4

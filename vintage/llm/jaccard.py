@@ -12,14 +12,19 @@ from pyspark.sql import functions as F
 
 from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, discard, mix64, partitions, row_keys, runs
 from vintage.llm.components import components
+from vintage.llm.simhash import fingerprint_of
 
 #: Codes that one bucket of the count holds, about.
 BUCKET_CODES = 1 << 20
 #: Codes of a set behind the one under which it is posted that its path in the tree shows.
 PATH = 32
+#: Bits of a set's map, on which its codes fall.
+MAP_BITS = 2048
+#: Longs of a set's SimHash, by which neighbours are chosen.
+SKETCH = 4
 #: Sets in one tree; a larger group becomes several trees that cover all its pairs.
 TREE_SETS = 2048
-#: Neighbours in the tree with which each set is compared before the trees are joined, and places after it at which they are looked for.
+#: Neighbours with which each set is compared at once before the trees are joined, and places after it at which they are looked for.
 NEAR = 6
 PLACES = (1, 2, 3)
 
@@ -41,6 +46,18 @@ def set_codes(text: str | None, words: int) -> np.ndarray:
     return np.unique(mix64(out))
 
 
+def map_of(codes: np.ndarray) -> np.ndarray:
+    """The bits on which codes fall. Maps of two sets differ in no more bits than the sets in codes."""
+    bits = np.zeros(MAP_BITS, bool)
+    bits[(codes % np.uint64(MAP_BITS)).astype(np.int64)] = True
+    return np.packbits(bits).view(np.uint64)
+
+
+def sketch_of(codes: np.ndarray) -> list[int]:
+    """A SimHash of SKETCH longs."""
+    return [fingerprint_of(mix64(codes ^ np.uint64(seed))) for seed in range(1, SKETCH + 1)]
+
+
 def needed(n: np.ndarray | int, percent: int) -> np.ndarray | int:
     """Shingles that a set of n shares at least with any similar one."""
     return -(-percent * n // 100)
@@ -159,19 +176,20 @@ def shared_counts(pieces: DataFrame) -> DataFrame:
 
 
 def _sets(docs: DataFrame, wanted: DataFrame, words: int) -> DataFrame:
-    """(cls, codes) of the wanted rows (k1, k2, cls)."""
+    """(cls, codes, map, sketch) of the wanted rows (k1, k2, cls)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = arrow_schema("cls string, codes array<long>")
+        schema = arrow_schema("cls string, codes array<long>, map binary, sketch array<long>")
         for b in batches:
-            yield batch_of(schema, {"cls": b.column(0), "codes": [set_codes(t, words).view(np.int64) for t in b.column(1).to_pylist()]})
+            own = [set_codes(t, words) for t in b.column(1).to_pylist()]
+            yield batch_of(schema, {"cls": b.column(0), "codes": [c.view(np.int64) for c in own], "map": [map_of(c).tobytes() for c in own], "sketch": [sketch_of(c) for c in own]})
 
     texts = docs.select(*row_keys(), "text").join(wanted, ["k1", "k2"]).select("cls", "text")
-    return texts.mapInArrow(run, "cls string, codes array<long>").dropDuplicates(["cls"])
+    return texts.mapInArrow(run, "cls string, codes array<long>, map binary, sketch array<long>").dropDuplicates(["cls"])
 
 
 def postings(sets: DataFrame, percent: int) -> DataFrame:
-    """(key, cls, n, rest, path): sets under each of the first codes that a similar one must share one of.
+    """(key, cls, n, rest, path, sketch): sets under each of the first codes that a similar one must share one of.
 
     Codes are ordered by the number of sets that hold them, then by value; key holds both.
     A code of one set only matches nothing, so it uses up a part of what the set may miss.
@@ -182,23 +200,25 @@ def postings(sets: DataFrame, percent: int) -> DataFrame:
     key = F.shiftleft(F.least("df", F.lit(1 << 22)), 40).bitwiseOR(F.shiftrightunsigned("code", 24)).alias("key")
     ordered = flat.join(often, "code").groupBy("cls", "n").agg(F.sort_array(F.collect_list(key)).alias("keys"))
     first = F.expr(f"size(keys) - CAST(({percent}L * n + 99) DIV 100 AS INT) + 1")
-    ordered = ordered.withColumn("first", first).where("first > 0")
-    posted = ordered.select("cls", "n", "keys", F.posexplode(F.slice("keys", F.lit(1), "first")).alias("at", "key"))
-    return posted.select("key", "cls", "n", (F.size("keys") - F.col("at") - 1).alias("rest"), F.slice("keys", F.col("at") + 2, F.lit(PATH)).alias("path"))
+    ordered = ordered.withColumn("first", first).where("first > 0").join(sets.select("cls", "sketch"), "cls")
+    posted = ordered.select("cls", "n", "keys", "sketch", F.posexplode(F.slice("keys", F.lit(1), "first")).alias("at", "key"))
+    return posted.select("key", "cls", "n", (F.size("keys") - F.col("at") - 1).alias("rest"), F.slice("keys", F.col("at") + 2, F.lit(PATH)).alias("path"), "sketch")
 
 
 def _enough(shared: Column, n1: Column, n2: Column, percent: int) -> Column:
     return shared * (100 + percent) >= (n1 + n2) * percent
 
 
-def _neighbours(posts: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v): for each set those that come soon after it in the trees of the most keys."""
-    order = Window.partitionBy("key").orderBy("path", "cls")
-    after = F.array(*[F.lead(F.struct("cls", "n", "rest"), k).over(order) for k in PLACES])
-    beside = posts.select("cls", "n", "rest", after.alias("after")).select("cls", "n", "rest", F.explode("after").alias("next"))
+def _neighbours(posts: DataFrame, percent: int, by: list[Column]) -> DataFrame:
+    """Pairs (u, v): each set with those of other roots soon after it in its keys' groups whose SimHash is closest."""
+    order = Window.partitionBy("key").orderBy(*by)
+    own = ["cls", "n", "rest", "root", "sketch"]
+    after = F.array(*[F.lead(F.struct(*own), k).over(order) for k in PLACES])
+    beside = posts.select(*own, after.alias("after")).select(*own, F.explode("after").alias("next")).where("next.root <> root")
     beside = beside.where(_enough(F.least("rest", "next.rest") + 1, F.col("n"), F.col("next.n"), percent))
-    votes = beside.groupBy(F.col("cls").alias("u"), F.col("next.cls").alias("v")).agg(F.count("*").alias("votes"))
-    best = votes.groupBy("u").agg(F.slice(F.sort_array(F.collect_list(F.struct("votes", "v")), asc=False), 1, NEAR).alias("best"))
+    apart = F.expr(" + ".join(f"bit_count(sketch[{k}] ^ next.sketch[{k}])" for k in range(SKETCH)))
+    met = beside.groupBy(F.col("cls").alias("u"), F.col("next.cls").alias("v")).agg(F.min(apart).alias("apart"))
+    best = met.groupBy("u").agg(F.slice(F.array_sort(F.collect_list(F.struct("apart", "v"))), 1, NEAR).alias("best"))
     return best.select("u", F.explode("best.v").alias("v"))
 
 
@@ -210,7 +230,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return both.where(_enough(F.size(F.array_intersect("x", "y")), F.size("x"), F.size("y"), percent)).select("u", "v")
 
 
-def tree_pairs(paths: list[list[int]], n: np.ndarray, rest: np.ndarray, root: np.ndarray, percent: int) -> list[tuple[int, int]]:
+def tree_pairs(paths: list[list[int]], n: np.ndarray, rest: np.ndarray, root: np.ndarray, maps: np.ndarray, percent: int) -> list[tuple[int, int]]:
     """Pairs of rows with different roots that may be similar; paths are in ascending order.
 
     The rows form a prefix tree: those with equal first codes share a node. Each node is
@@ -218,7 +238,7 @@ def tree_pairs(paths: list[list[int]], n: np.ndarray, rest: np.ndarray, root: np
     path so far is kept for the whole subtree. A set is closed where this and the codes
     left to it or to the subtree's longest set are not enough for the subtree's smallest
     set, or where the subtree holds its own root alone. A code beyond a set's shown path
-    counts as shared.
+    counts as shared. At a leaf the two sets' maps bound their difference from below.
     """
     out: list[tuple[int, int]] = []
     size = len(paths)
@@ -246,7 +266,10 @@ def tree_pairs(paths: list[list[int]], n: np.ndarray, rest: np.ndarray, root: np
             seen = (shown[open_] <= (shown[y, depth - 1] if depth else -1)).sum(1)
             most = 1 + has + np.minimum(rest[open_] - seen, rest[y] - depth)
             good = (open_ < y) & (root[open_] != root[y]) & (most * (100 + percent) >= (n[open_] + n[y]) * percent)
-            out += [(int(x), y) for x in open_[good]]
+            x = open_[good]
+            apart = np.bitwise_count(maps[x] ^ maps[y]).sum(1, dtype=np.int64)
+            x = x[(n[x] + n[y] - apart) * (100 + percent) >= 2 * percent * (n[x] + n[y])]
+            out += [(int(k), y) for k in x]
             ends += 1
         if ends == b:
             continue
@@ -261,7 +284,7 @@ def tree_pairs(paths: list[list[int]], n: np.ndarray, rest: np.ndarray, root: np
     return out
 
 
-def _tree_join(posts: DataFrame, percent: int) -> DataFrame:
+def _tree_join(posts: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """All pairs (u, v) with different roots that the trees cannot rule out.
 
     A group of one root alone has none. Of a large group the sets of its commonest root
@@ -279,7 +302,7 @@ def _tree_join(posts: DataFrame, percent: int) -> DataFrame:
                  WHEN few THEN transform({every}, k -> struct(k AS i, 0 AS j))
                  ELSE transform({every}, k -> struct(least(k, {own}) AS i, greatest(k, {own}) AS j)) END"""
     )
-    dealt = posts.join(groups, "key").select("key", "cls", "n", "rest", "root", "path", F.inline(trees))
+    dealt = posts.drop("sketch").join(groups, "key").select("key", "cls", "n", "rest", "root", "path", F.inline(trees)).join(sets.select("cls", "map"), "cls")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         schema = arrow_schema("u string, v string")
@@ -287,14 +310,14 @@ def _tree_join(posts: DataFrame, percent: int) -> DataFrame:
         now = None
 
         def flush() -> pa.RecordBatch:
-            cls, n, rest, root, paths = zip(*held, strict=True)
+            cls, n, rest, root, paths, maps = zip(*held, strict=True)
             _, number = np.unique(np.array(root), return_inverse=True)
-            found = tree_pairs(list(paths), np.array(n, np.int64), np.array(rest, np.int64), number, percent)
+            found = tree_pairs(list(paths), np.array(n, np.int64), np.array(rest, np.int64), number, np.frombuffer(b"".join(maps), np.uint64).reshape(len(n), -1), percent)
             pairs = {(min(cls[x], cls[y]), max(cls[x], cls[y])) for x, y in found}
             return batch_of(schema, {"u": [p[0] for p in pairs], "v": [p[1] for p in pairs]})
 
         for b in batches:
-            for key, i, j, *row in zip(*(b.column(k).to_pylist() for k in range(8)), strict=True):
+            for key, i, j, *row in zip(*(b.column(k).to_pylist() for k in range(9)), strict=True):
                 if (key, i, j) != now and held:
                     yield flush()
                     held = []
@@ -305,7 +328,7 @@ def _tree_join(posts: DataFrame, percent: int) -> DataFrame:
 
     parts = int(posts.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     dealt = dealt.repartition(parts, "key", "i", "j").sortWithinPartitions("key", "i", "j", "path", "cls")
-    return dealt.select("key", "i", "j", "cls", "n", "rest", "root", "path").mapInArrow(run, "u string, v string").distinct()
+    return dealt.select("key", "i", "j", "cls", "n", "rest", "root", "path", "map").mapInArrow(run, "u string, v string").distinct()
 
 
 def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> DataFrame:
@@ -321,9 +344,9 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
 
     Sets that show too few codes that others show as well are done. Of the others one of
     each class is read again; its codes are ordered by rarity and it is posted under the
-    rarest of them. A set is first compared with a few neighbours in its keys' prefix trees,
-    so that most of a group of copies becomes one component by comparisons in proportion to
-    its members; then the trees are joined for all that lies in different components.
+    rarest of them. A set is first compared with a few neighbours under its keys, so that
+    most of a group of copies becomes one component by comparisons in proportion to its
+    members; then the trees are joined for all that lies in different components.
     """
     pieces = cut(pieces_of(docs, words, percent))
     rows = pieces.select("piece", F.posexplode(F.arrays_zip("doc_id", "k1", "k2", "cls", "n")).alias("at", "row")).select("piece", "at", "row.*")
@@ -332,13 +355,17 @@ def similar_documents(docs: DataFrame, words: int = 4, percent: int = 85) -> Dat
     wanted = shown.groupBy("cls").agg(F.min(F.struct("k1", "k2")).alias("row")).select("cls", "row.*")
     sets = cut(_sets(docs, wanted, words))
     posts = cut(postings(sets, percent))
-    near = cut(_similar(_neighbours(posts, percent), sets, percent))
-    roots = cut(components(near))
-    rooted = posts.join(roots, posts["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
-    more = cut(_similar(_tree_join(rooted, percent), sets, percent))
+    rooted, links = posts.withColumn("root", F.col("cls")), None
+    # Neighbours in the trees, then neighbours by lot, which join what the first have left apart.
+    for by in ([F.col("path"), F.col("cls")], [F.xxhash64("cls", "key"), F.col("cls")]):
+        near = cut(_similar(_neighbours(rooted, percent, by), sets, percent))
+        links = near if links is None else links.unionAll(near)
+        roots = cut(components(links))
+        rooted = posts.join(roots, posts["cls"] == roots["node"], "left").withColumn("root", F.coalesce("root", "cls")).drop("node")
+    more = cut(_similar(_tree_join(rooted, sets, percent), sets, percent))
     discard(posts, sets)
     if more.take(1):
-        roots = components(near.unionAll(more))
+        roots = components(links.unionAll(more))
     ids = rows.where("n > 0").groupBy("cls").agg(F.min("doc_id").alias("least"))
     ids = ids.join(roots, ids["cls"] == roots["node"], "left").select("cls", "least", F.coalesce("root", "cls").alias("root"))
     named = ids.groupBy("root").agg(F.min("least").alias("named"))
