@@ -7,7 +7,7 @@ closed forms and Spark's own evaluators instead.
 from pyspark.sql import functions as F
 
 from vintage.catalogue.base import LABELS, loans, query, rounded, table
-from vintage.operators import evaluate, explain, features, monitor, score, split, train
+from vintage.operators import attribution, evaluate, explain, features, monitor, score, split, train
 from vintage.plans import jobs
 from vintage.sources import tables
 from vintage.spec import LoanSpec
@@ -165,17 +165,50 @@ def permutation_attribution(spark, sf_dir):
     )
 
 
+@query(
+    """SELECT m.model, d.feature, COUNT(*) AS "rows", CAST(0 AS DOUBLE) AS gap
+       FROM labels JOIN documents USING (doc_id), (VALUES ('gradient_boosting'), ('random_forest')) AS m(model),
+            (VALUES ('chars'), ('words'), ('lines'), ('digits'), ('capitals'), ('repeats'), ('blank_share')) AS d(feature) GROUP BY ALL"""
+)
+def tree_attribution_sums(spark, sf_dir):
+    """Tree attributions of all labelled rows: their parts add up to what the model itself scores."""
+    rows = labelled_documents(spark, sf_dir)
+    out = None
+    for name in ("random_forest", "gradient_boosting"):
+        model = train.fit(rows.filter("split = 'train'"), name, TEXT_FEATURES)
+        shares = attribution.tree_attribution(model, rows, ["doc_id"])
+        p = F.col("probability")
+        scored = score.score(rows, model, ["doc_id"]).select("doc_id", (F.log(p) - F.log(1 - p) if name == "gradient_boosting" else p).alias("own"))
+        sums = shares.groupBy("doc_id").agg((F.sum("phi") + F.max("base")).alias("total"))
+        far = sums.join(scored, "doc_id").agg(F.round(F.max(F.abs(F.col("total") - F.col("own"))), 6).alias("gap"))
+        part = shares.groupBy(F.lit(name).alias("model"), "feature").agg(F.count("*").alias("rows")).crossJoin(far)
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+@query()
+def tree_attribution(spark, sf_dir):
+    """Mean absolute tree attribution of each feature over all rows outside the training split."""
+    rows = labelled_documents(spark, sf_dir)
+    model = train.fit(rows.filter("split = 'train'"), "random_forest", TEXT_FEATURES)
+    return explain.importance(attribution.tree_attribution(model, rows.filter("split = 'test'"), ["doc_id"]))
+
+
+@query()
+def coalition_attribution(spark, sf_dir):
+    """Model-agnostic attribution of a forest: its sampled default rows, all coalitions."""
+    rows = labelled_documents(spark, sf_dir)
+    train_rows = rows.filter("split = 'train'")
+    model = train.fit(train_rows, "random_forest", TEXT_FEATURES)
+    return explain.explain(model, train_rows, rows.filter("split = 'test'"), ["doc_id"], method="coalitions")
+
+
 @query()
 def explain_models(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)
     train_rows = rows.filter("split = 'train'")
-    models = {
-        "logistic_regression": train.fit(train_rows, "logistic_regression", TEXT_FEATURES),
-        "random_forest": train.fit(train_rows, "random_forest", TEXT_FEATURES, params={"n_estimators": 20, "max_depth": 5}),
-    }
-    shares = explain.explain_all(
-        models, train_rows, rows.filter("split = 'test'"), ["doc_id"], sample_size=50, permutations=4
-    )
+    models = {name: train.fit(train_rows, name, TEXT_FEATURES) for name in train.MODELS}
+    shares = explain.explain_all(models, train_rows, rows.filter("split = 'test'"), ["doc_id"])
     return explain.top_features(explain.importance(shares, by=["model"]))
 
 

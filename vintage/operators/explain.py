@@ -13,6 +13,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from vintage.functions.ordering import hash_rank
+from vintage.operators.attribution import coalition_attribution, tree_attribution
 from vintage.operators.sample import random_rows
 from vintage.operators.score import positive_probability
 from vintage.sources.tables import cut_lineage, model_features
@@ -20,6 +21,7 @@ from vintage.sources.tables import cut_lineage, model_features
 
 # A background of up to this many numbers (16 MB) is sent to every executor.
 BROADCAST_CELLS = 2_000_000
+TREES = ("RandomForestClassificationModel", "GBTClassificationModel")
 
 
 def linear_attribution(df: DataFrame, background: DataFrame, key: Sequence[str],
@@ -184,19 +186,27 @@ def instance_breakdown(attribution: DataFrame, key: Sequence[str], k: int = 15)
 
 def explain(model: PipelineModel, background: DataFrame, df: DataFrame, key: Sequence[str],
             background_size: int = 500, sample_size: int = 200, permutations: int = 10,
-            seed: int = 42) -> DataFrame:
+            seed: int = 42, method: str | None = None) -> DataFrame:
     """Sample both tables and attribute: log-odds for boosting and logistic
-    models, probability for forests. Logistic models use the closed form.
+    models, probability for forests.
+
+    By default logistic models use the closed form, tree models their node table and
+    others coalitions; ``method`` "coalitions" or "permutations" takes that instead.
     """
     pool = random_rows(background, key, background_size, seed)
     rows = random_rows(df, key, sample_size, seed)
     last = type(model.stages[-1]).__name__
-    if last == "LogisticRegressionModel":
+    if method is None and last == "LogisticRegressionModel":
         return explain_linear(model, rows, pool, key)
-    output = "log_odds" if last.startswith("GBT") else "probability"
-    shares = permutation_attribution(
-        model, rows, pool.select(*model_features(model)), key, permutations, seed, output
-    )
+    output = "log_odds" if last.startswith(("GBT", "Logistic")) else "probability"
+    if method is None and last in TREES:
+        shares = tree_attribution(model, rows, key)
+    elif method == "permutations":
+        shares = permutation_attribution(model, rows, pool.select(*model_features(model)), key, permutations, seed, output)
+    elif method in (None, "coalitions"):
+        shares = coalition_attribution(model, rows, pool, key, seed=seed, output=output)
+    else:
+        raise ValueError(f"unknown method: {method}")
     return shares.select(*key, "feature", "phi", "base")
 
 

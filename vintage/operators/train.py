@@ -17,6 +17,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.ordering import exact_quantiles, hash_rank
+from vintage.operators import stacked
 from vintage.operators.evaluate import evaluate
 from vintage.operators.score import positive_probability
 from vintage.sources.tables import use_shared_checkpoints
@@ -57,13 +58,17 @@ MAX_DEPTH = 30
 UNMAPPED = frozenset({"min_samples_split"})
 
 
-#: Partitions that a fit reads unless told otherwise. Bagging is seeded by partition, so this is part of
-#: a model's definition; iterative fits pay for each on every step, so small tables take few and large
-#: ones should name as many as hold their rows.
-PARTITIONS = 2
+#: Fits read a partition for so many rows and LEAST_PARTITIONS at least, unless told otherwise. Bagging is
+#: seeded by partition, and the number follows from the rows alone, so equal rows give an equal model.
+PARTITION_ROWS = 200_000
+LEAST_PARTITIONS = 2
 
 
-def dealt(df: DataFrame, key: Sequence[str], partitions: int = PARTITIONS) -> DataFrame:
+def partitions_of(rows: int) -> int:
+    return max(LEAST_PARTITIONS, -(-rows // PARTITION_ROWS))
+
+
+def dealt(df: DataFrame, key: Sequence[str], partitions: int) -> DataFrame:
     """Rows dealt by key and in its order, whatever files they came from."""
     return df.repartition(partitions, *key).sortWithinPartitions(*key)
 
@@ -181,16 +186,17 @@ def weight_for(name: str, label: str, negatives: int, positives: int) -> Column:
 def fit(df: DataFrame, name: str, features: Sequence[str], label: str = "label",
         params: Mapping[str, Any] | None = None, seed: int = 42,
         counts: tuple[int, int] | None = None, key: Sequence[str] | None = None,
-        partitions: int | None = PARTITIONS, fill: Mapping[str, float] | None = None) -> PipelineModel:
+        partitions: int | None = 0, fill: Mapping[str, float] | None = None) -> PipelineModel:
     """Fit one model with its class weighting.
 
-    Rows are dealt to ``partitions`` by ``key`` (or else by all they hold), so the same
-    rows give the same model on any file layout; None takes them as they lie.
+    Rows are dealt to ``partitions`` (0: as many as they fill) by ``key`` (or else by all
+    they hold), so the same rows give the same model on any file layout; None takes them
+    as they lie.
     Boosting checkpoints its growing lineage every ten rounds.
     """
     use_shared_checkpoints(df.sparkSession)
     neg, pos = counts or class_counts(df, label)
-    rows = df if partitions is None else dealt(df, key or [*features, label], partitions)
+    rows = df if partitions is None else dealt(df, key or [*features, label], partitions or partitions_of(neg + pos))
     weighted = rows.withColumn("_weight", weight_for(name, label, neg, pos))
     return estimator(name, features, neg + pos, params, label, seed=seed, fill=fill).fit(weighted)
 
@@ -220,10 +226,11 @@ def random_candidates(grid: Mapping[str, Sequence], n_iter: int = 20,
 def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str],
            label: str = "label", candidates: Sequence[Mapping[str, Any]] | None = None,
            k: int = 5, scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42,
-           partitions: int = PARTITIONS, fill: Mapping[str, float] | None = None) -> DataFrame:
+           partitions: int = 0, fill: Mapping[str, float] | None = None) -> DataFrame:
     """Cross-validated score per candidate and fold, on both sides of the fold.
 
-    Each fit is a distributed Spark job. A candidate's folds are fitted and evaluated by
+    Logistic candidates are fitted and scored together, one pass over the rows per step
+    (stacked.fit_stack). Otherwise each fit is a distributed Spark job: a candidate's folds are fitted and evaluated by
     one of ``parallelism`` threads, which then lets its models go: the driver holds that
     many candidates at once, and one number per side of the others.
     """
@@ -231,7 +238,7 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
         raise ValueError(f"unknown scoring metric: {scoring}")
     metric = SCORING[scoring]
     candidates = list(candidates or grid_candidates(GRIDS[name]))
-    numbered = dealt(stratified_folds(df, label, key, k, seed), key, partitions)
+    numbered = dealt(stratified_folds(df, label, key, k, seed), key, partitions or partitions_of(df.count()))
     folded = numbered.select(
         *[F.col(c).cast("double").alias(c) for c in features], F.col(label).cast("double").alias(label), "fold"
     )
@@ -259,10 +266,23 @@ def search(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str]
         params = str(dict(candidates[i]))
         return [(i, params, f, found.get((f, "test")), found.get((f, "train"))) for f in range(k)]
 
+    def run_stack():
+        numeric = folded.select(*[F.coalesce(F.nanvl(c, F.lit(None).cast("double")), F.lit((fill or {}).get(c)).cast("double")).alias(c) for c in features], label, "fold")
+        stack = stacked.fit_stack(numeric, features, label, [{**DEFAULTS[name], **c}["C"] for c in candidates], k)
+        side = F.when(F.col("fold") == F.col("held_out"), "test").otherwise("train").alias("side")
+        scored = numeric.select(label, "fold", F.inline(stack.probability(features)))
+        scored = scored.select("candidate", "held_out", side, label, (F.col("probability") > 0.5).cast("double").alias("prediction"), "probability")
+        found = {(r["candidate"], r["held_out"], r["side"]): r[metric] for r in evaluate(scored, label, by=["candidate", "held_out", "side"]).collect()}
+        return [(i, str(dict(c)), f, found.get((i, f, "test")), found.get((i, f, "train"))) for i, c in enumerate(candidates) for f in range(k)]
+
+    both = all(0 < train_counts(fold)[side] for fold in range(k) for side in (0, 1))
     try:
-        with ThreadPoolExecutor(parallelism) as pool:
-            run = inheritable_thread_target(df.sparkSession)(run_one)
-            rows = list(itertools.chain.from_iterable(pool.map(run, range(len(candidates)))))
+        if name == "logistic_regression" and both and all(set(c) <= {"C"} for c in candidates):
+            rows = run_stack()
+        else:
+            with ThreadPoolExecutor(parallelism) as pool:
+                run = inheritable_thread_target(df.sparkSession)(run_one)
+                rows = list(itertools.chain.from_iterable(pool.map(run, range(len(candidates)))))
     finally:
         folded.unpersist()
     return df.sparkSession.createDataFrame(
@@ -291,7 +311,7 @@ def search_table(scores: DataFrame) -> DataFrame:
 def tune(df: DataFrame, name: str, features: Sequence[str], key: Sequence[str],
          label: str = "label", method: str = "random", n_iter: int = 20, k: int = 5,
          scoring: str = "roc_auc", parallelism: int = 4, seed: int = 42,
-         grid: Mapping[str, Sequence] | None = None, partitions: int = PARTITIONS,
+         grid: Mapping[str, Sequence] | None = None, partitions: int = 0,
          fill: Mapping[str, float] | None = None) -> tuple[PipelineModel, DataFrame]:
     """Search, then refit the best candidate on all rows."""
     grid = grid or GRIDS[name]
