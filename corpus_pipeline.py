@@ -51,7 +51,7 @@ STAGES = [
     ("bpe", encode),
 ]
 
-#: The classifier and the tokenizer are beyond SQL; tests hold the stages against brute force.
+#: The classifier and the tokenizer are beyond SQL; tests hold the stages against their input, near duplicates against brute force.
 ORACLE_SQL = None
 
 
