@@ -4,10 +4,11 @@ Most have no SQL twin: fitting is iterative. Their tests check them against
 closed forms and Spark's own evaluators instead.
 """
 
+from pyspark.ml.feature import VectorAssembler
 from pyspark.sql import functions as F
 
 from vintage.catalogue.base import LABELS, loans, query, rounded, table
-from vintage.operators import attribution, evaluate, explain, features, monitor, score, split, train
+from vintage.operators import attribution, boosting, evaluate, explain, features, monitor, score, split, train
 from vintage.plans import jobs
 from vintage.sources import tables
 from vintage.spec import LoanSpec
@@ -86,6 +87,44 @@ def gbt_scored(spark, sf_dir):
     return _fit_and_score(spark, sf_dir, "gradient_boosting", {})
 
 
+FIRST_TREE = ["ship_year", "quantity", "discount", "line"]
+
+
+@query(
+    """WITH t AS (SELECT CASE WHEN l_returnflag = 'N' THEN -0.5 ELSE 0.5 END AS g,
+              [CAST(YEAR(l_shipdate) AS DOUBLE), CAST(l_quantity AS DOUBLE), ROUND(l_discount * 100), CAST(l_linenumber AS DOUBLE)] AS x FROM lineitem),
+       c1 AS (SELECT f, x[f] AS v, SUM(CAST(g AS DOUBLE)) AS g, CAST(COUNT(*) AS DOUBLE) / 4 AS h FROM t, (VALUES (1), (2), (3), (4)) AS k(f) GROUP BY ALL),
+       w1 AS (SELECT f, v, SUM(g) OVER o AS lg, SUM(h) OVER o AS lh, SUM(g) OVER (PARTITION BY f) AS g, SUM(h) OVER (PARTITION BY f) AS h
+              FROM c1 WINDOW o AS (PARTITION BY f ORDER BY v)),
+       b1 AS (SELECT *, lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1) AS gain FROM w1
+              WHERE lh >= 1 AND h - lh >= 1 ORDER BY gain DESC, f, v LIMIT 1),
+       t2 AS (SELECT t.g, t.x, CASE WHEN t.x[b1.f] <= b1.v THEN 'L' ELSE 'R' END AS path FROM t, b1),
+       c2 AS (SELECT path, f, x[f] AS v, SUM(CAST(g AS DOUBLE)) AS g, CAST(COUNT(*) AS DOUBLE) / 4 AS h FROM t2, (VALUES (1), (2), (3), (4)) AS k(f) GROUP BY ALL),
+       w2 AS (SELECT path, f, v, SUM(g) OVER o AS lg, SUM(h) OVER o AS lh, SUM(g) OVER (PARTITION BY path, f) AS g, SUM(h) OVER (PARTITION BY path, f) AS h
+              FROM c2 WINDOW o AS (PARTITION BY path, f ORDER BY v)),
+       s2 AS (SELECT *, lg * lg / (lh + 1) + (g - lg) * (g - lg) / (h - lh + 1) - g * g / (h + 1) AS gain FROM w2 WHERE lh >= 1 AND h - lh >= 1),
+       b2 AS (SELECT * FROM s2 WHERE gain >= 1e-9 QUALIFY ROW_NUMBER() OVER (PARTITION BY path ORDER BY gain DESC, f, v) = 1),
+       sides AS (SELECT path, SUM(CAST(g AS DOUBLE)) AS g, CAST(COUNT(*) AS DOUBLE) / 4 AS h FROM t2 GROUP BY 1),
+       nodes AS (
+         SELECT '' AS path, g, h, f, v, gain FROM b1 UNION ALL
+         SELECT s.path, s.g, s.h, b2.f, b2.v, b2.gain FROM sides s LEFT JOIN b2 USING (path) UNION ALL
+         SELECT path || 'L', lg, lh, NULL, NULL, NULL FROM b2 UNION ALL
+         SELECT path || 'R', g - lg, h - lh, NULL, NULL, NULL FROM b2)
+       SELECT path, ['ship_year', 'quantity', 'discount', 'line'][f] AS feature, v AS threshold, ROUND(gain, 5) AS gain,
+              ROUND(h, 5) AS cover, ROUND(-g / (h + 1), 6) AS value FROM nodes"""
+)
+def boosted_first_tree(spark, sf_dir):
+    """The first boosted tree of two levels over all line items: splits, gains, curvatures and leaf values."""
+    rows = table(spark, sf_dir, "lineitem").select(
+        F.year("l_shipdate").alias("ship_year"), F.col("l_quantity").alias("quantity"), F.round(F.col("l_discount") * 100).alias("discount"),
+        F.col("l_linenumber").alias("line"), (F.col("l_returnflag") == "N").cast("int").alias("label"), F.lit(1.0).alias("weight"),
+    )
+    vector = VectorAssembler(inputCols=FIRST_TREE, outputCol="features")
+    model = boosting.BoostedTrees(n_estimators=1, max_depth=2, learning_rate=1.0).fit(vector.transform(rows))
+    nodes = boosting.paths(spark, model, FIRST_TREE).drop("tree")
+    return nodes.select("path", "feature", "threshold", F.round("gain", 5).alias("gain"), F.round("cover", 5).alias("cover"), F.round("value", 6).alias("value"))
+
+
 @query()
 def cv_table(spark, sf_dir):
     rows = labelled_documents(spark, sf_dir)

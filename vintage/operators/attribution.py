@@ -17,33 +17,36 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import ArrayType, DoubleType, StructField, StructType
 
 from vintage.functions.ordering import hash_rank
+from vintage.operators.boosting import BoostedTreesModel
 from vintage.operators.score import positive_probability
 from vintage.sources.tables import cut_lineage, model_features, scratch_path
 
 #: Coalitions that are all taken; models with more features sample as many.
 ALL_COALITIONS = 2048
+NODES = "tree int, node int, left int, right int, feature int, threshold double, categories int, cover double, value double, weight double"
 
 
 def node_table(model: PipelineModel) -> DataFrame:
     """(tree, node, left, right, feature, threshold, cover, value, weight) of a fitted forest or boosted model.
 
-    cover is the weight of the training rows that reached the node. A forest's values are
-    probabilities and its trees weigh the same; a boosted model's are scaled to log-odds.
+    cover is the weight of the training rows that reached the node, in a boosted model their
+    curvature. A forest's values are probabilities and its trees weigh the same; a boosted
+    model's are log-odds.
     """
     last = model.stages[-1]
     spark = SparkSession.getActiveSession()
+    if isinstance(last, BoostedTreesModel):
+        return spark.createDataFrame(last.nodes(), NODES)
     path = scratch_path(spark, "trees")
     last.write().overwrite().save(path)
-    boosted = type(last).__name__.startswith("GBT")
-    weights = [2.0 * w for w in last.treeWeights] if boosted else [1.0 / len(last.treeWeights)] * len(last.treeWeights)
+    weight = 1.0 / len(last.treeWeights)
     n = F.col("nodeData")
     stats = n["impurityStats"]
     total = F.aggregate(stats, F.lit(0.0), lambda a, x: a + x)
     return spark.read.parquet(f"{path}/data").select(
         F.col("treeID").alias("tree"), n["id"].alias("node"), n["leftChild"].alias("left"), n["rightChild"].alias("right"),
         n["split"]["featureIndex"].alias("feature"), F.get(n["split"]["leftCategoriesOrThreshold"], 0).alias("threshold"), n["split"]["numCategories"].alias("categories"),
-        (stats[0] if boosted else total).alias("cover"), (n["prediction"] if boosted else stats[1] / total).alias("value"),
-        F.get(F.array(*map(F.lit, weights)), F.col("treeID")).alias("weight"),
+        total.alias("cover"), (stats[1] / total).alias("value"), F.lit(weight).alias("weight"),
     )
 
 

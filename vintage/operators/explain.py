@@ -21,7 +21,7 @@ from vintage.sources.tables import cut_lineage, model_features
 
 # A background of up to this many numbers (16 MB) is sent to every executor.
 BROADCAST_CELLS = 2_000_000
-TREES = ("RandomForestClassificationModel", "GBTClassificationModel")
+TREES = ("RandomForestClassificationModel", "BoostedTreesModel")
 
 
 def linear_attribution(df: DataFrame, background: DataFrame, key: Sequence[str],
@@ -198,7 +198,7 @@ def explain(model: PipelineModel, background: DataFrame, df: DataFrame, key: Seq
     last = type(model.stages[-1]).__name__
     if method is None and last == "LogisticRegressionModel":
         return explain_linear(model, rows, pool, key)
-    output = "log_odds" if last.startswith(("GBT", "Logistic")) else "probability"
+    output = "log_odds" if last.startswith(("Boosted", "Logistic")) else "probability"
     if method is None and last in TREES:
         shares = tree_attribution(model, rows, key)
     elif method == "permutations":

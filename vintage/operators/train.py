@@ -11,13 +11,14 @@ from typing import Any
 
 from pyspark import StorageLevel, inheritable_thread_target
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import GBTClassifier, LogisticRegression, RandomForestClassifier
+from pyspark.ml.classification import LogisticRegression, RandomForestClassifier
 from pyspark.ml.feature import SQLTransformer, StandardScaler, VectorAssembler
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from vintage.functions.ordering import exact_quantiles, hash_rank
 from vintage.operators import stacked
+from vintage.operators.boosting import BoostedTrees
 from vintage.operators.evaluate import evaluate
 from vintage.operators.score import positive_probability
 from vintage.sources.tables import use_shared_checkpoints
@@ -150,20 +151,7 @@ def estimator(name: str, features: Sequence[str], rows: int, params: Mapping[str
             )
         )
     else:
-        share = p.get("colsample_bytree", 1.0)
-        stages.append(
-            GBTClassifier(
-                maxIter=p["n_estimators"],
-                maxDepth=p["max_depth"],
-                stepSize=p["learning_rate"],
-                minInfoGain=float(p.get("gamma", 0.0)),
-                minInstancesPerNode=p.get("min_child_weight", 1),
-                subsamplingRate=p.get("subsample", 1.0),
-                featureSubsetStrategy="all" if share >= 1 else str(share),
-                seed=seed,
-                **common,
-            )
-        )
+        stages.append(BoostedTrees(seed=seed, **common, **p))
     return Pipeline(stages=stages)
 
 
@@ -192,7 +180,6 @@ def fit(df: DataFrame, name: str, features: Sequence[str], label: str = "label",
     Rows are dealt to ``partitions`` (0: as many as they fill) by ``key`` (or else by all
     they hold), so the same rows give the same model on any file layout; None takes them
     as they lie.
-    Boosting checkpoints its growing lineage every ten rounds.
     """
     use_shared_checkpoints(df.sparkSession)
     neg, pos = counts or class_counts(df, label)

@@ -170,3 +170,9 @@ def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared folder."""
     unique = spark.sql("SELECT uuid()").head()[0]
     return os.path.join(shared_folder(spark), f"{name}-{unique}")
+
+
+def drop_scratch(spark: SparkSession, path: str) -> None:
+    """Delete what was written to a scratch path; nothing may read it any more."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    where.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()).delete(where, True)
