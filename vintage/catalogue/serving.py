@@ -14,8 +14,9 @@ from vintage.catalogue.base import (
     scored_documents,
     table,
 )
-from vintage.operators import clean, monitor, score
+from vintage.operators import monitor, score
 from vintage.sources.tables import scratch_path
+from vintage.streaming import blocks
 from vintage.streaming import requests as streams
 
 _RULES = [r for r in score.application_rules() if r.name in {"loan_amnt", "int_rate", "installment", "annual_inc", "dti", "fico_range_low", "fico_range_high"}]
@@ -225,6 +226,14 @@ def _stream(spark, sf_dir):
     return as_requests(streams.stream_table(spark, f"{sf_dir}/events.parquet"))
 
 
+def _files(spark, sf_dir, path, files, order=None):
+    """The events as a stream of so many files, one per micro-batch; with ``order`` each file is a range of it."""
+    events = table(spark, sf_dir, "events")
+    dealt = events.repartitionByRange(files, order) if order else events.repartition(files, "event_id")
+    dealt.write.parquet(f"{path}/events")
+    return as_requests(streams.stream_table(spark, f"{path}/events", files_per_batch=1))
+
+
 def _start_text(df):
     return df.withColumn("window_start", F.date_format("window_start", "yyyy-MM-dd"))
 
@@ -269,18 +278,27 @@ def stream_drift(spark, sf_dir):
         FROM r JOIN q USING (endpoint) GROUP BY 1"""
 )
 def stream_group_clean(spark, sf_dir):
-    """Fill gaps per micro-batch with the statistics of that batch's blocks.
+    """Fill gaps of a stream of files, one per micro-batch, with the medians of whole endpoints."""
+    path = scratch_path(spark, "cleaned")
+    rows = _files(spark, sf_dir, path, 4).select("endpoint", F.when(F.col("user_id") % 4 != 0, F.col("value")).alias("value"))
+    written = blocks.clean_blocks(rows, path, ["endpoint"], ["value"])
+    totals = written.groupBy("endpoint").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+    return rounded(totals, ["total"], 4)
 
-    The table is one file here, so its only micro-batch is the whole table.
-    """
-    rows = _stream(spark, sf_dir).select(
-        "endpoint", F.when(F.col("user_id") % 4 != 0, F.col("value")).alias("value")
-    )
-    written = streams.run_available(
-        rows,
-        scratch_path(spark, "cleaned"),
-        mode="append",
-        batch_fn=lambda batch: clean.impute_by_group(batch, ["endpoint"], ["value"]),
+
+@query(
+    f"""WITH {LOG_SQL}, d AS (SELECT *, strftime(ts, '%Y-%m-%d') AS day FROM r),
+            q AS (SELECT day, quantile_cont(value, 0.5) AS m FROM d WHERE CAST(user_id AS BIGINT) % 4 <> 0 GROUP BY 1)
+        SELECT day, COUNT(*) AS "rows", ROUND(SUM(CASE WHEN user_id % 4 <> 0 THEN value ELSE m END), 4) AS total
+        FROM d LEFT JOIN q USING (day) GROUP BY 1"""
+)
+def stream_day_clean(spark, sf_dir):
+    """Days of a stream of files, each filled with its own median once it is over, and anew for rows that come late."""
+    path = scratch_path(spark, "days")
+    rows = _files(spark, sf_dir, path, 4, "ts").select(
+        "ts", F.date_format("ts", "yyyy-MM-dd").alias("day"), F.when(F.col("user_id") % 4 != 0, F.col("value")).alias("value"),
+        (F.date_trunc("day", "ts") + F.expr("INTERVAL 1 DAY")).alias("over"),
     )
-    totals = written.groupBy("endpoint").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
+    written = blocks.clean_blocks(rows, path, ["day"], ["value"], ts="ts", until="over")
+    totals = written.groupBy("day").agg(F.count("*").alias("rows"), F.sum("value").alias("total"))
     return rounded(totals, ["total"], 4)

@@ -28,6 +28,14 @@ def present(df: DataFrame, columns: Iterable[str]) -> list[str]:
     return [c for c in columns if c in have]
 
 
+def unused(taken: Iterable[str], stem: str) -> str:
+    """A column name that is not taken, in any case."""
+    names = {c.lower() for c in taken}
+    while stem.lower() in names:
+        stem += "_"
+    return stem
+
+
 def batches(columns: Sequence[str], size: int = BATCH) -> list[list[str]]:
     return [list(columns[i : i + size]) for i in range(0, len(columns), size)]
 
