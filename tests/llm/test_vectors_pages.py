@@ -68,6 +68,24 @@ def test_pages(spark):
     assert pages.extract(table.limit(0), pages.fit(table.limit(0))).count() == 0
 
 
+def test_text_outside_the_body_and_pages_of_few_elements(spark):
+    article = PAGE.replace("</article>", "</article></body></html><article><p>After the end of the body, there is a paragraph.</p></article>")
+    cases = {
+        1: ("Some <b>bold</b> text", "Some bold text"),
+        2: ("<body><p>One paragraph.</p></body>", "One paragraph."),
+        3: ("<html><head><title>T</title><meta charset=x><p>One. <p>Two.", "One.\nTwo."),
+        4: ("<body>Bare <i>words</i><div class='ad'>Buy</div></body>", "Bare words"),
+        5: ("<body><nav><a href=x>Home</a></nav><footer>us</footer></body>", ""),
+        6: ("</body></html><p>Late", "Late"),
+        7: ("<head></head>Text<body class=x><p>More", "Text\nMore"),
+    }
+    model = pages.fit(spark.createDataFrame([(1, "u", PAGE)], "page_id long, url string, html string"))
+    table = spark.createDataFrame([(k, "u", v[0]) for k, v in cases.items()] + [(9, "u", article)], "page_id long, url string, html string")
+    got = {r.page_id: r.text for r in pages.extract(table, model).collect()}
+    assert {k: got[k] for k in cases} == {k: v[1] for k, v in cases.items()}
+    assert got[9].startswith("Title & more\n") and got[9].endswith("After the end of the body, there is a paragraph.")
+
+
 def test_marginals_are_exact():
     """Messages give what summing over all states gives."""
     import itertools

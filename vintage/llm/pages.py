@@ -36,9 +36,9 @@ CLOSED_BY = {
     "tbody": frozenset({"thead", "tbody", "tfoot", "tr", "td", "th", "caption", "colgroup"}),
     "thead": frozenset({"caption", "colgroup"}),
     "tfoot": frozenset({"thead", "tbody", "tr", "td", "th"}),
-    "body": frozenset({"head"}),
 }
 #: Names of elements that are no content even within an article.
+BESIDE = frozenset("nav aside form footer header".split())
 ASIDES = frozenset("ad ads advert advertisement banner comment comments cookie footer menu nav newsletter notice promo related replies share sidebar signup social sponsored widget".split())
 SCOPES = {"li": frozenset({"ul", "ol", "menu"}), "dt": frozenset({"dl"}), "dd": frozenset({"dl"})}
 SCOPES |= dict.fromkeys(("tr", "td", "th", "tbody", "thead", "tfoot"), frozenset({"table"}))
@@ -83,6 +83,8 @@ def parse(source: str | None) -> Page:
         return next(n for n in reversed(stack) if page.tag[n] not in INLINE)
 
     def add_text(raw: str) -> None:
+        if raw.strip() and not opened["body"]:
+            imply_body()
         if opened[""]:
             return
         text = html.unescape(raw) if "&" in raw else raw
@@ -92,6 +94,25 @@ def parse(source: str | None) -> Page:
         if opened["a"]:
             own_linked[stack[-1]] += size
 
+    def imply_body() -> None:
+        """What stands outside head and body is in the body, as in browsers' trees."""
+        for depth in range(len(stack) - 1, 0, -1):
+            if page.tag[stack[depth]] == "head":
+                close_to(depth)
+                break
+        open_element("body", "")
+
+    def open_element(tag: str, attributes: str) -> None:
+        found = {a[0].lower(): html.unescape(a[1].strip("\"'")) for a in _ATTRIBUTE.findall(attributes)} if attributes else {}
+        page.tag.append(tag)
+        page.parent.append(stack[-1])
+        page.names.append(tuple(sorted({w.lower() for key in ("class", "id", "role") for w in _NAME.findall(found.get(key, ""))})))
+        mark = "hidden" if "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", "")) else ""
+        page.marks.append(mark or next((k for k in ("data-main", "data-not") if k in found), ""))
+        stack.append(len(page.tag) - 1)
+        opened[tag] += 1
+        opened[""] += unseen(stack[-1])
+
     def close_to(depth: int) -> None:
         if any(page.tag[n] not in INLINE for n in stack[depth:]):
             flush()
@@ -127,7 +148,7 @@ def parse(source: str | None) -> Page:
             tag = m[1].lower()
             if tag == "br":
                 pending.append(" ")
-            elif not opened[tag]:
+            elif not opened[tag] or tag in ("html", "body"):  # what follows those is still in the body
                 if tag not in INLINE:
                     flush()
             else:
@@ -148,6 +169,13 @@ def parse(source: str | None) -> Page:
         if tag == "br":
             pending.append(" ")
             continue
+        if tag in ("html", "body"):
+            if opened[tag] or tag == "html" and opened["body"]:
+                continue
+            if tag == "body" and opened["head"]:
+                close_open(frozenset({"head"}), frozenset())
+        elif tag not in VOID and tag != "head" and not opened["body"]:
+            imply_body()
         if tag not in INLINE:
             if tag in CLOSES_P:
                 close_open(frozenset({"p"}), frozenset({"table", "td", "th", "button", "object"}))
@@ -156,15 +184,7 @@ def parse(source: str | None) -> Page:
             flush()
         if tag in VOID:
             continue
-        found = {a[0].lower(): html.unescape(a[1].strip("\"'")) for a in _ATTRIBUTE.findall(attributes)} if attributes else {}
-        page.tag.append(tag)
-        page.parent.append(stack[-1])
-        page.names.append(tuple(sorted({w.lower() for key in ("class", "id", "role") for w in _NAME.findall(found.get(key, ""))})))
-        mark = "hidden" if "hidden" in found or re.search(r"display\s*:\s*none", found.get("style", "")) else ""
-        page.marks.append(mark or next((k for k in ("data-main", "data-not") if k in found), ""))
-        stack.append(len(page.tag) - 1)
-        opened[tag] += 1
-        opened[""] += unseen(stack[-1])
+        open_element(tag, attributes)
     flush()
     page.chars = [own[n] for n in range(len(page.tag))]
     page.linked = [own_linked[n] for n in range(len(page.tag))]
@@ -286,16 +306,35 @@ def fit(pages: DataFrame, sample: int = SAMPLE, html_column: str = "html") -> Tr
 
 
 def main_text(page: Page, model: TreeModel, least: float = 0.5) -> str:
+    """The blocks whose element is content by ``least``.
+
+    Where none is, the blocks below the parent of the likeliest one, other than those in what
+    is beside an article by its tag or name: a page of a single paragraph is its own article.
+    """
     content = model.marginals(page)
-    return "\n".join(text for n, text in page.blocks if n and content[n] >= least or not n and len(page.tag) == 1)
+    found = [text for n, text in page.blocks if content[n] >= least]
+    if not found and page.blocks:
+        beside = [False] * len(page.tag)
+        for n in range(1, len(page.tag)):
+            beside[n] = beside[page.parent[n]] or page.tag[n] in BESIDE or not ASIDES.isdisjoint(page.names[n])
+        left = [(n, text) for n, text in page.blocks if not beside[n]]
+        if left:
+            best = max((n for n, _ in left), key=lambda n: (content[n], -n))
+            top = best if page.tag[best] == "body" else page.parent[best]
+            below = [n == top for n in range(len(page.tag))]
+            for n in range(1, len(page.tag)):
+                below[n] |= below[page.parent[n]]
+            found = [text for n, text in left if below[n]]
+    return "\n".join(found)
 
 
 def extract(pages: DataFrame, model: TreeModel) -> DataFrame:
     """The main text of every page.
 
     pages: page_id, url, html, any others. The whole html is read; a NULL one counts as
-    empty and gives an empty text, as does a page without content. A page of bare text is
-    its own content. Character references are decoded, white space in a block becomes one
+    empty and gives an empty text, as does a page of nothing but menus, notices and the like.
+    Text and elements outside a body are in an implied one; see main_text where no element
+    is content. Character references are decoded, white space in a block becomes one
     space, blocks are joined by line feeds in page order. Repeated rows stay, a NULL
     page_id or url stays NULL; an empty table gives none.
     """
