@@ -4,7 +4,7 @@ from pyspark.sql import functions as F
 
 from vintage.catalogue.base import day_text, query, rounded, table
 from vintage.operators import clean, profile, split
-from vintage.sources import tables
+from vintage.sources import tables, versions
 
 _TYPES = {"o_orderkey": "bigint", "o_custkey": "bigint", "o_totalprice": "double", "o_orderdate": "timestamp"}
 _BY_STATUS = """SELECT o_orderstatus, COUNT(*) AS "rows", CAST(SUM(o_orderkey) AS BIGINT) AS key_sum,
@@ -115,3 +115,30 @@ def csv_stream(spark, sf_dir):
     )
     chunks = tables.read_raw(spark, path, _TYPES, files_per_batch=2)
     return _by_status(streams.run_available(chunks, tables.scratch_path(spark, "chunks"), mode="append"))
+
+
+@query(
+    """WITH t AS (SELECT o_orderstatus AS status, [CAST(o_custkey AS VARCHAR), strftime(o_orderdate, '%Y-%m-%d'), CAST(o_orderkey AS VARCHAR),
+              o_orderpriority, o_orderstatus, CAST(CAST(ROUND(o_totalprice * 100) AS BIGINT) AS VARCHAR)] AS x FROM orders WHERE o_orderstatus IN ('F', 'O', 'P')),
+       h AS (SELECT status, md5(list_aggregate(list_transform(x, lambda v: COALESCE(length(v) || ':' || v, 'N')), 'string_agg', '')) AS m FROM t),
+       s AS (SELECT status, COUNT(*) AS n, SUM(CAST('0x' || substr(m, 1, 15) AS BIGINT)) AS high, SUM(CAST('0x' || substr(m, 16, 15) AS BIGINT)) AS low FROM h GROUP BY 1),
+       c AS (SELECT CAST(ROW_NUMBER() OVER (ORDER BY status) AS INTEGER) AS version, n AS hashed_rows, CAST(SUM(n) OVER o AS BIGINT) AS "rows",
+              CAST(SUM(high) OVER o AS VARCHAR) AS high, CAST(SUM(low) OVER o AS VARCHAR) AS low FROM s WINDOW o AS (ORDER BY status))
+       SELECT *, md5("rows" || ':' || high || ':' || low) AS digest FROM c"""
+)
+def table_versions(spark, sf_dir):
+    """Digest of the orders after each of three appends, and the rows that each version had to hash."""
+    orders = table(spark, sf_dir, "orders").select(
+        "o_custkey", F.date_format("o_orderdate", "yyyy-MM-dd").alias("o_orderdate"), "o_orderkey", "o_orderpriority", "o_orderstatus",
+        F.round(F.col("o_totalprice") * 100).cast("bigint").alias("price_cents"),
+    )
+    path = tables.scratch_path(spark, "versions")
+    out = None
+    for status in ("F", "O", "P"):
+        tables.append_table(orders.filter(F.col("o_orderstatus") == status), f"{path}/orders")
+        number = versions.record_version(spark, f"{path}/orders", f"{path}/history")
+        files = versions.recorded(spark, f"{path}/history", number)
+        hashed = files.agg(F.coalesce(F.sum(F.when(F.col("hashed_in") == number, F.col("rows"))), F.lit(0)).alias("hashed_rows"))
+        line = versions.table_digest(files).drop("files").crossJoin(hashed).withColumn("version", F.lit(number))
+        out = line if out is None else out.unionByName(line)
+    return out
