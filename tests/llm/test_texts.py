@@ -55,6 +55,24 @@ def test_language(docs):
     assert language.predict(docs, trees).count() == docs.count()
 
 
+def test_a_rare_language_keeps_its_statistics_under_small_limits(spark):
+    """One text in a hundred is of a third language, made of the others' letters in another order."""
+    rng = np.random.default_rng(2)
+    letters = list("abcdefghijklmnop")
+    stems = {lang: ["".join(rng.choice(letters, 5)) for _ in range(size)] for lang, size in (("aa", 60), ("bb", 60), ("zz", 12))}
+    langs = ["zz" if k % 100 == 0 else "aa" if k % 2 else "bb" for k in range(1200)]
+    rows = [(k, words(rng, stems[lang], 12), lang) for k, lang in enumerate(langs)]
+    table = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    found = language.gram_counts(table, "lang").count()
+    for limits in ({"max_grams": found // 4}, {"table_bytes": 40_000}, {"max_grams": found // 2, "table_bytes": 40_000}):
+        trees = language.fit(table, **limits)
+        got = {r.doc_id: r.lang_pred for r in language.predict(table, trees).collect()}
+        assert all(got[k] == "zz" for k in range(0, 1200, 100)), limits
+        assert sum(got[k] == lang for k, lang in enumerate(langs)) >= 1180
+    everything = language.fit(table, max_grams=found)
+    assert np.array_equal(everything.bits, language.fit(table).bits)
+
+
 def test_language_lengths_are_a_distribution(docs):
     trees = language.fit(docs)
     a = int(trees.symbol.max()) + 1

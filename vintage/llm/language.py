@@ -14,7 +14,7 @@ from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, pas
 
 #: Bytes of a context at most; a text begins as if after so many line feeds.
 DEPTH = 3
-#: Grams that reach the driver at most (the rarest counts go first), and bytes of the table of code lengths.
+#: Grams that reach the driver at most (an equal part for each language, its rarest go first), and bytes of the table of code lengths.
 MAX_GRAMS = 1_000_000
 TABLE_BYTES = 48 << 20
 #: Evidence counts as if from so many bytes at most when code lengths become a score.
@@ -120,8 +120,8 @@ def context_trees(names: np.ndarray, grams: np.ndarray, counts: np.ndarray, tabl
     probability c / (n + t); t / (n + t) escapes to the context one byte shorter, where
     the symbols already ruled out are excluded. Below the empty context all bytes are
     alike. Bytes that no language has seen share one class, which costs each of them
-    what it would alone. The contexts kept are the most frequent over all languages
-    that fit table_bytes; a rarer one is coded as its longest suffix that is kept.
+    what it would alone. The contexts kept are those of the largest share in any one
+    language that fit table_bytes; another is coded as its longest suffix that is kept.
     """
     if not len(grams):
         return ContextTrees([], np.zeros(256, np.int64), np.zeros(1, np.int32), np.zeros((1, 0), np.float32))
@@ -142,7 +142,12 @@ def context_trees(names: np.ndarray, grams: np.ndarray, counts: np.ndarray, tabl
     found = []
     for length in range(1, DEPTH + 1):
         keys, at = np.unique(_context(quad, length, a), return_inverse=True)
-        found.append((np.full(len(keys), length), keys, np.bincount(at, n)))
+        # A context counts by its share in the language that uses it most, so a rare language keeps its own.
+        share = np.zeros(len(keys))
+        for k in range(len(langs)):
+            own = lang == k
+            share = np.maximum(share, np.bincount(at[own], n[own], len(keys)) / max(n[own].sum(), 1))
+        found.append((np.full(len(keys), length), keys, share))
     lengths, keys, frequency = (np.concatenate(x) for x in zip(*found, strict=True))
     top = np.lexsort((keys, lengths, -frequency))[: room - 1]
     kept = {0: (np.zeros(1, np.int64), np.zeros(1, np.int64))}  # by length: contexts in order, and their rows
@@ -195,24 +200,34 @@ def _context(quad: np.ndarray, length: int, a: int) -> np.ndarray:
     return key
 
 
-def fit(docs: DataFrame, lang: str = "lang", max_grams: int = MAX_GRAMS) -> ContextTrees:
+def fit(docs: DataFrame, lang: str = "lang", max_grams: int = MAX_GRAMS, table_bytes: int = TABLE_BYTES) -> ContextTrees:
     """Trees from all rows of docs that have a text and a language.
 
-    Grams are counted over every whole text. If more than max_grams remain, the driver
-    receives those above the least count that lets the rest fit.
+    Grams are counted over every whole text. If more than max_grams remain, each language
+    has an equal part of them, what some do not need being shared by the others, and the
+    driver receives those above the least count that lets a language's own fit.
     """
     counts = cut(gram_counts(docs, lang))
-    by_size = counts.groupBy(F.expr("CAST(floor(log2(n) * 4) AS INT)").alias("size")).count().collect()
-    room, least = max_grams, 0
-    for r in sorted(by_size, key=lambda r: -r["size"]):
-        room -= r["count"]
-        if room < 0:
-            least = 2 ** ((r["size"] + 1) / 4)
-            break
-    rows = counts.where(F.col("n") >= least).toArrow()
+    sizes: dict[str, list] = {}
+    for r in counts.groupBy("lang", F.expr("CAST(floor(log2(n) * 4) AS INT)").alias("size")).count().collect():
+        sizes.setdefault(r["lang"], []).append((r["size"], r["count"]))
+    least, room = [], max_grams
+    for left, (name, own) in zip(range(len(sizes), 0, -1), sorted(sizes.items(), key=lambda x: (sum(c for _, c in x[1]), x[0])), strict=True):
+        part, taken, low = room // left, 0, 0.0
+        for size, count in sorted(own, reverse=True):
+            if taken + count > part:
+                low = 2 ** ((size + 1) / 4)
+                break
+            taken += count
+        room -= taken
+        least.append((name, low))
+    if any(low for _, low in least):
+        bounds = docs.sparkSession.createDataFrame(least, "lang string, least double")
+        counts = counts.join(F.broadcast(bounds), "lang").where(F.col("n") >= F.col("least")).select("lang", "gram", "n")
+    rows = counts.toArrow()
     coded = rows.column("lang").combine_chunks().dictionary_encode() if rows.num_rows else None
     names = np.array(coded.dictionary.to_pylist())[coded.indices.to_numpy()] if rows.num_rows else np.empty(0, str)
-    return context_trees(names, rows.column("gram").to_numpy(), rows.column("n").to_numpy())
+    return context_trees(names, rows.column("gram").to_numpy(), rows.column("n").to_numpy(), table_bytes)
 
 
 def predict(docs: DataFrame, trees: ContextTrees) -> DataFrame:
