@@ -27,26 +27,47 @@ def test_neighbours(spark):
         assert np.allclose([v for _, v in own], s[order])
 
 
-def test_neighbours_recall_and_few_rows(spark):
+def _recall(spark, n, dims):
     rng = np.random.default_rng(5)
-    x = rng.normal(size=(1500, 24)) * rng.uniform(0.5, 2, (1500, 1))
+    x = rng.normal(size=(n, dims)) * rng.uniform(0.5, 2, (n, 1))
     table = spark.createDataFrame([(k, v.tolist()) for k, v in enumerate(x)], "vec_id long, embedding array<double>")
-    got = neighbours.nearest(table, table.where("vec_id % 20 = 0"), k=10).collect()
     hits = {}
-    for r in got:
+    for r in neighbours.nearest(table, table.where("vec_id % 20 = 0"), k=10).collect():
         hits.setdefault(r.query_id, set()).add(r.vec_id)
+    assert set(hits) == set(range(0, n, 20))
     total = 0
     for q, own in hits.items():
         s = x @ x[q]
         s[q] = -1e9
         total += len(own & set(np.argsort(-s)[:10].tolist()))
-    assert total / (10 * len(hits)) >= 0.9
+    return total / (10 * len(hits)), table
+
+
+def test_neighbours_recall_and_few_rows(spark):
+    assert _recall(spark, 12000, 24)[0] >= 0.9
+    recall, table = _recall(spark, 1500, 24)
+    assert recall >= 0.9
     few = table.where("vec_id < 4")
     assert neighbours.nearest(few, few.where("vec_id = 0"), k=10).count() == 3
     assert neighbours.nearest(few.limit(0), few).count() == 0
     assert neighbours.nearest(few, few.limit(0)).count() == 0
 
 
+def test_footrule_is_that_of_whole_lists():
+    rng = np.random.default_rng(3)
+    x = rng.normal(size=(200, 8))
+    index = neighbours.PermutationIndex(x[:90], float(np.linalg.norm(x, axis=1).max()))
+    near, m = index.nearest(x), index.prefix
+    assert m == neighbours.PREFIX < 90
+    probes = index.nearest(x[:5], query=True)
+    posts = index.postings(x)
+    for probe in probes:
+        got = index.footrule(probe, posts, len(x))
+        asked = {p: a for a, p in enumerate(probe)}
+        want = [sum(abs(asked.get(p, m) - at.get(p, m)) for p in range(90)) for at in ({p: a for a, p in enumerate(row)} for row in near)]
+        assert np.array_equal(2 * got + m * (m + 1), want)
+
+
 PAGE = """<!DOCTYPE html><html><head><title>T</title><style>p{margin:0}</style><script>var t="</p>";x(1<2)</script></head>
 <body><nav><ul><li><a href="/a">Home</a></li><li><a href="/b">More</a></li></ul></nav><!-- <p>no</p> -->
 <div class="ad">Buy now and save a lot.</div><article><h1>Title &amp;  more</h1><p><b>First   line<br>goes on.<p>Second

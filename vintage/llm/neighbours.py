@@ -11,14 +11,17 @@ from pyspark.sql import functions as F
 
 from vintage.llm.common import arrow_schema, batch_of, cut, partitions
 
-#: Pivots (a sample, the bound of what the index is fitted on), and nearest pivots that post a vector or probe for it.
-PIVOTS = 256
-PREFIX = 64
-#: Share of a block's vectors, the nearest by footrule, whose inner products are taken.
-RERANK = 0.3
-#: Vectors of one inverted file; different query vectors that are broadcast at once, and ranked at once.
-BLOCK = 4096
-QUERY_BLOCK = 16384
+#: Pivots are this many times the root of the vectors, and at most MAX_PIVOTS: a sample, all that the index is fitted on.
+ROOT_PIVOTS = 4
+MAX_PIVOTS = 16384
+#: Nearest pivots that post a vector or probe for it.
+PREFIX = 48
+#: Of n vectors the RERANK * n ** (2 / 3) nearest by footrule have their inner products taken.
+RERANK = 3.0
+#: Vectors of one inverted file, products with pivots at once, bytes of different query vectors that are broadcast at once, rows sent at once.
+BLOCK = 16384
+CELLS = 1 << 22
+QUERY_BYTES = 1 << 25
 PASS = 512
 
 _CLASSES = "vec binary, ids array<long>"
@@ -70,7 +73,13 @@ class PermutationIndex:
     def nearest(self, x: np.ndarray, query: bool = False) -> np.ndarray:
         """The nearest pivots of each vector, in order."""
         lifted = np.concatenate([x, np.zeros((len(x), 1))], 1) if query else self._lifted(x)
-        return np.argsort(-(lifted @ self.pivots.T), axis=1, kind="stable")[:, : self.prefix]
+        step, found = max(1, CELLS // len(self.pivots)), [np.empty((0, self.prefix), np.int64)]
+        for start in range(0, len(x), step):
+            far = -(lifted[start : start + step] @ self.pivots.T)
+            few = np.sort(np.argpartition(far, self.prefix - 1, axis=1)[:, : self.prefix], axis=1)
+            order = np.argsort(np.take_along_axis(far, few, 1), axis=1, kind="stable")
+            found.append(np.take_along_axis(few, order, 1))
+        return np.concatenate(found)
 
     def postings(self, x: np.ndarray) -> list[tuple[np.ndarray, np.ndarray]]:
         """Of each pivot: the vectors that post it, and at which place."""
@@ -81,17 +90,16 @@ class PermutationIndex:
         return [(member[a:b], place[a:b].astype(np.int32)) for a, b in zip([0, *ends[:-1]], ends, strict=True)]
 
     def footrule(self, probes: np.ndarray, posts: list[tuple[np.ndarray, np.ndarray]], n: int) -> np.ndarray:
-        """Footrule distance of queries (their nearest pivots) to the n vectors of an inverted file.
+        """Footrule distance of one query (its nearest pivots) to the n vectors of an inverted file, halved.
 
-        A pivot that only one side posts counts as if the other had it behind its last. What
-        all distances share is left out.
+        Only the files of its own pivots are read. A pivot that only one side posts counts as
+        if the other had it behind its last: both at places a and b then save
+        a + b - 2 * prefix + |a - b|, twice the larger place less the prefix. What all share is left out.
         """
-        acc = np.zeros((len(probes), n), np.int32)
-        for pivot in np.unique(probes):
+        acc = np.zeros(n, np.int32)
+        for at, pivot in enumerate(probes):
             member, place = posts[pivot]
-            row, at = np.nonzero(probes == pivot)
-            gain = np.abs(at[:, None].astype(np.int32) - place[None, :]) - (self.prefix - at[:, None]) - (self.prefix - place[None, :])
-            acc[row[:, None], member[None, :]] += gain
+            acc[member] += np.maximum(place, np.int32(at)) - np.int32(self.prefix)
         return acc
 
 
@@ -99,8 +107,8 @@ def nearest(
     vectors: DataFrame,
     queries: DataFrame,
     k: int = 20,
-    pivots: int = PIVOTS,
-    rerank: float = RERANK,
+    pivots: int | None = None,
+    rerank: float | None = None,
     vec_id: str = "vec_id",
     embedding: str = "embedding",
 ) -> DataFrame:
@@ -108,10 +116,13 @@ def nearest(
 
     vectors: vec_id, embedding, any others; queries: rows of the same columns whose ids are
     ids of vectors (a query is no neighbour of itself). Vectors are posted in the inverted
-    files of their nearest pivots. Queries come in blocks that are broadcast, QUERY_BLOCK
-    different vectors at most in expectation; each ranks every block of BLOCK vectors by
+    files of their PREFIX nearest pivots. Queries come in blocks that are broadcast, QUERY_BYTES
+    of different vectors in expectation; each ranks every block of BLOCK vectors by
     footrule over the files of its own nearest pivots, and the nearest share (rerank) is
-    ranked by its inner products in double precision.
+    ranked by its inner products in double precision. Pivots grow as the root of the
+    vectors and files with it, so a query reads postings as the root of the table up to
+    MAX_PIVOTS (in proportion beyond); the share falls as the third root. pivots, rerank:
+    numbers of one's own instead; rerank 1 is exact.
 
     Vectors that are NULL, zero, or hold NULL or non-finite components take no part, as
     queries neither, nor do rows without an id, nor vectors of another length than most
@@ -125,12 +136,14 @@ def nearest(
     lengths = classes.groupBy(F.octet_length("vec").alias("bytes")).count().orderBy(F.desc("count"), F.desc("bytes")).first()
     if lengths is None:
         return spark.createDataFrame([], "query_id long, rank int, vec_id long, score double")
-    width = lengths["bytes"]
+    width, n = lengths["bytes"], lengths["count"]
+    pivots = pivots or min(MAX_PIVOTS, max(PREFIX, int(np.ceil(ROOT_PIVOTS * n**0.5))))
+    rerank = rerank or min(1.0, RERANK * n ** (-1 / 3))
     classes = classes.where(F.octet_length("vec") == width)
     asked_rows = _query_rows(queries.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(embedding).cast("array<double>").alias("embedding")), width)
     asked_rows = cut(asked_rows)
     asked = cut(asked_rows.select("vec").distinct())
-    blocks = partitions(asked.count(), QUERY_BLOCK)
+    blocks = partitions(asked.count(), max(1, QUERY_BYTES // width))
     sample = _matrix(classes.orderBy(F.xxhash64("vec"), "vec").limit(pivots).select("vec").toArrow(), width)
     index = spark.sparkContext.broadcast(PermutationIndex(sample, _top_norm(classes)))
     found = None
@@ -180,20 +193,24 @@ def _search(classes: DataFrame, index, asked, k: int, rerank: float, width: int)
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         queries, perm = asked.value, index.value
         probes = perm.nearest(queries, query=True)
-        best: list[list[tuple[float, int]]] = [[] for _ in queries]
+        none = np.iinfo(np.int64).max
+        best_score, best_id = np.full((len(queries), k + 1), -np.inf), np.full((len(queries), k + 1), none)
 
         def rank(vecs: list[bytes], ids: list[list[int]]) -> None:
             x = np.frombuffer(b"".join(vecs), np.float64).reshape(-1, width // 8)
             posts = perm.postings(x)
             take = max(min(len(x), k + 1), int(np.ceil(rerank * len(x))))
-            for start in range(0, len(queries), PASS):
-                near = perm.footrule(probes[start : start + PASS], posts, len(x))
-                for q, distance in enumerate(near, start):
-                    chosen = np.argpartition(distance, take - 1)[:take] if take < len(x) else np.arange(len(x))
-                    score = (x[chosen] * queries[q]).sum(1)
-                    least = np.partition(score, -min(k + 1, take))[-min(k + 1, take)]
-                    hits = [(-float(s), i) for c, s in zip(chosen[score >= least].tolist(), score[score >= least].tolist(), strict=True) for i in ids[c]]
-                    best[q] = sorted(best[q] + hits)[: k + 1]
+            last = min(k + 1, take)
+            for q, vec in enumerate(queries):
+                chosen = np.argpartition(perm.footrule(probes[q], posts, len(x)), take - 1)[:take] if take < len(x) else np.arange(len(x))
+                score = np.einsum("ij,j->i", x[chosen], vec)
+                top = score >= max(np.partition(score, -last)[-last], best_score[q, -1])
+                if top.any():
+                    own = [ids[c] for c in chosen[top].tolist()]
+                    all_scores = np.concatenate([best_score[q], np.repeat(score[top], [len(i) for i in own])])
+                    all_ids = np.concatenate([best_id[q], np.array([i for o in own for i in o], np.int64)])
+                    order = np.lexsort((all_ids, -all_scores))[: k + 1]
+                    best_score[q], best_id[q] = all_scores[order], all_ids[order]
 
         vecs, ids = [], []
         for b in batches:
@@ -205,8 +222,9 @@ def _search(classes: DataFrame, index, asked, k: int, rerank: float, width: int)
         if vecs:
             rank(vecs, ids)
         schema = arrow_schema("vec binary, ids array<long>, costs array<double>")
-        for start in range(0, len(best), PASS):
-            own = [(q, b) for q, b in enumerate(best[start : start + PASS], start) if b]
-            yield batch_of(schema, {"vec": [queries[q].tobytes() for q, _ in own], "ids": [[i for _, i in b] for _, b in own], "costs": [[c for c, _ in b] for _, b in own]})
+        filled = (best_id != none).sum(1)
+        for start in range(0, len(queries), PASS):
+            own = [q for q in range(start, min(start + PASS, len(queries))) if filled[q]]
+            yield batch_of(schema, {"vec": [queries[q].tobytes() for q in own], "ids": [best_id[q, : filled[q]].tolist() for q in own], "costs": [(-best_score[q, : filled[q]]).tolist() for q in own]})
 
     return classes.mapInArrow(run, "vec binary, ids array<long>, costs array<double>")
