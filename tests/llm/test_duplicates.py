@@ -231,3 +231,21 @@ def test_leaks_in_any_case(spark):
     ]
     got = {r.doc_id: r.item_ids for r in decontaminate.decontaminate(frame(spark, rows), bench).collect()}
     assert got == {1: [1], 2: [1], 3: [2], 4: [2], 5: [3], 7: []}
+
+
+def test_leaks_with_rewritten_slots(spark):
+    asked = "The shop on the corner sold 25 loaves of fresh bread in the early morning and then gave 2 of them to Alice before she took 2 buses home again."
+    bench = spark.createDataFrame([(1, asked), (2, asked.replace("25", "90")), (3, asked), (4, None), (None, asked)], "item_id long, text string")
+    words = "The shop on the corner sold {} loaves of fresh bread in the early morning and then gave {} of them to {} before she took {} buses home again."
+    rows = [
+        (1, words.format("twenty five", "2", "Alice", "2")),
+        (2, words.format("25", "3", "Alice", "5")),
+        (3, words.format("one hundred and twenty", "7", "Carla Maria", "7")),
+        (4, words.format("30", "2", "Alice", "2").replace("early morning", "early and rather cold morning")),
+        (5, "The shop on the corner sold 25 loaves. " * 40),
+        (6, "In the early morning she took 2 buses and then gave 25 loaves of fresh bread to the shop on the corner."),
+    ]
+    got = {r.doc_id: r.item_ids for r in decontaminate.decontaminate(frame(spark, rows), bench).collect()}
+    assert {d: got[d] for d in (1, 2, 4)} == {1: [1, 2, 3], 2: [1, 2, 3], 4: [1, 2, 3]}
+    assert got[3] == [1, 2, 3]
+    assert got[5] == got[6] == []

@@ -16,14 +16,18 @@ from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, fnv
 WINDOW = 6
 FIXED_WORDS = 3
 SHARE = 0.6
+#: Tokens by which windows of one alignment may drift apart, and share of an item's slots that must agree.
+DRIFT = 4
+AGREE = 0.5
 #: Bits that a window's hash has in the filter that texts meet before the join.
 FILTER_BITS = 22
 
-# Words that stand for numbers, and units when a number comes before them.
+# Words that stand for numbers (the first of them have one digit), and units when a number comes before them.
 NUMBER_WORDS = frozenset(
     "zero one two three four five six seven eight nine ten eleven twelve thirteen fourteen fifteen sixteen seventeen "
     "eighteen nineteen twenty thirty forty fifty sixty seventy eighty ninety hundred thousand million billion".split()
 )
+SMALL_WORDS = frozenset("zero one two three four five six seven eight nine".split())
 UNITS = frozenset(
     "mm cm m km inch inches foot feet ft yard yards mile miles mg g kg gram grams kilogram kilograms lb lbs pound pounds "
     "ounce ounces oz ton tons ml l liter liters litre litres gallon gallons second seconds s minute minutes min hour hours "
@@ -37,13 +41,14 @@ _HITS = "row long, doc_id long, plain boolean, at long, window long, slots array
 
 
 class Vocabulary(dict):
-    """Numbers of tokens, with the hash, kind and case (1: has small letters, 2: capitals only) of each; made anew once it has grown large."""
+    """Numbers of tokens, with the hash, kind and case (1: has small letters, 2: capitals only) of each, and whether it is a number of one digit; made anew once it has grown large."""
 
     def __init__(self) -> None:
         super().__init__()
         self.hashes: list[int] = []
         self.kinds: list[int] = []
         self.cases: list[int] = []
+        self.small: list[bool] = []
 
     def __missing__(self, token: str) -> int:
         low = token.lower()
@@ -58,15 +63,16 @@ class Vocabulary(dict):
         self[token] = number = len(self.hashes)
         self.hashes.append(fnv(low.encode(), 3))
         self.kinds.append(kind)
+        self.small.append(kind == NUMBER and (len(token) == 1 or low in SMALL_WORDS))
         self.cases.append(int(token != token.upper()) + 2 * int(token.isupper() and len(token) > 1))
         return number
 
 
 def templates(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarray, ...]:
-    """Tokens of all texts as templates: text, hash with typed placeholders, slot type (0: none), slot value.
+    """Tokens of all texts as templates: text, hash with typed placeholders, slot type (0: none), slot value (odd: a number of one digit).
 
     Numbers, units after numbers, and capitalised words that do not begin a sentence are
-    slots; a run of such words is one name. Capitals tell no names in a sentence that has
+    slots; a run of such words is one name, a run of numbers one number. Capitals tell no names in a sentence that has
     nothing else. Two more arrays hold all words and numbers as they are, whatever their
     case: text, hash.
     """
@@ -88,18 +94,20 @@ def templates(texts: list[str | None], vocabulary: Vocabulary) -> tuple[np.ndarr
     shouted = ((small == 0) & (large > 1))[sentence] if len(ids) else starts
     slot[(kind == CAPITAL) & (before != MARK) & ~shouted] = _SLOT["name"]
     runs_on = np.zeros(len(ids), bool)
-    runs_on[1:] = (slot[1:] == _SLOT["name"]) & (slot[:-1] == _SLOT["name"]) & (text[1:] == text[:-1])
+    runs_on[1:] = ((slot[1:] == _SLOT["name"]) | (slot[1:] == _SLOT["number"])) & (slot[1:] == slot[:-1]) & (text[1:] == text[:-1])
     keep = (kind != MARK) & ~runs_on
     group = np.cumsum(~runs_on) - 1
     place = np.arange(len(ids)) - np.flatnonzero(~runs_on)[group] if len(ids) else np.empty(0, np.int64)
     value = np.zeros(int(group[-1]) + 1 if len(ids) else 0, np.uint64)
     np.add.at(value, group, hashes * (2 * place + 1).astype(np.uint64))
-    value = value[group[keep]]
+    small = np.bincount(group, ~np.array(vocabulary.small, bool)[ids], len(value)) == 0
+    value, small = value[group[keep]], small[group[keep]]
     said = kind != MARK
     plain = text[said], mix64(hashes[said] ^ np.uint64(0xA24BAED4963EE407))
     slot, hashes = slot[keep], hashes[keep]
     typed = np.where(slot > 0, mix64(slot.astype(np.uint64) + np.uint64(17)), hashes)
-    return text[keep], typed, slot, mix64(value + slot.astype(np.uint64)), *plain
+    value = mix64(value + slot.astype(np.uint64)) & ~np.uint64(1) | (small & (slot > 0)).astype(np.uint64)
+    return text[keep], typed, slot, value, *plain
 
 
 def windows(text: np.ndarray, typed: np.ndarray, slot: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
@@ -174,11 +182,14 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     """Items found in documents: (row, doc_id, item_id, at, found, of).
 
     Templates of both sides are cut into windows; windows of texts that the filter of the
-    benchmark's windows lets through (it loses none) join them by hash. Windows of one
-    text and item that lie equally far apart in both form an alignment. It counts if each
-    slot value of the item always meets the same value in the text, so that a question
-    with other numbers or names counts as well as a verbatim one, and if the share of the
-    item's windows is found. An item shorter than a window is one window. Besides
+    benchmark's windows lets through (it loses none) join them by hash. Items of one
+    template whose slots repeat alike are one class, joined once. Windows of one text and
+    class that lie equally far apart in both, give or take DRIFT tokens, form an alignment.
+    It counts if the share of the item's windows is found, and if slots are consistent: a
+    slot value of the item always meets the same value in the text. Numbers of one digit
+    stand in two roles by chance; they may meet several, of which the most frequent agrees,
+    if AGREE of all slots do. So a question with other numbers or names counts as well as a verbatim one.
+    found: windows in the alignment, at: its first token. An item shorter than a window is one window. Besides
     templates, plain words are matched in the same way, without regard to case, marks and
     slots, so that a verbatim item is found however it is written.
     """
@@ -202,15 +213,43 @@ def matches(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share:
     flags[buckets.column("k").to_numpy()] = 1
     bitmap = spark.sparkContext.broadcast(np.packbits(flags, bitorder="little").tobytes())
     seen = _template_windows(keyed, widths, bitmap)
-    of = asked.groupBy("row", "plain").agg(F.count("*").alias("of"))
-    wanted = asked.join(of, ["row", "plain"]).select(F.col("doc_id").alias("item_id"), F.col("at").alias("item_at"), "window", F.col("slots").alias("item_slots"), F.xxhash64("row", "plain").alias("item"), "of")
-    met = seen.join(wanted, "window").withColumn("at", F.col("at") - F.col("item_at"))
-    pairs = F.arrays_zip(F.col("item_slots").alias("i"), F.col("slots").alias("d"))
-    aligned = met.groupBy("row", "doc_id", "item", "item_id", "at", "of").agg(
-        F.countDistinct("item_at").alias("found"), F.array_distinct(F.flatten(F.collect_set(pairs))).alias("pairs")
+    classes = cut(_item_classes(asked))
+    wanted = classes.select("class", "of", F.explode("windows").alias("w")).select("class", "of", F.col("w.at").alias("item_at"), F.col("w.window").alias("window"), F.col("w.roles").alias("roles"))
+    met = seen.join(wanted, "window").withColumn("lead", F.col("at") - F.col("item_at"))
+    # One lead alone, and two rows of bands, one half a band further, so that any DRIFT of leads lies within a band.
+    bands = F.array(F.col("lead") * 3, *(F.floor((F.col("lead") + shift) / (2 * DRIFT)) * 3 + k for k, shift in ((1, 0), (2, DRIFT))))
+    pairs = F.arrays_zip(F.col("roles").alias("i"), F.col("slots").alias("d"))
+    aligned = (
+        met.withColumn("band", F.explode(bands))
+        .groupBy("row", "doc_id", "class", "of", "band")
+        .agg(F.least(F.countDistinct("item_at"), F.countDistinct("at")).alias("found"), F.min("lead").alias("at"), F.flatten(F.collect_list(pairs)).alias("pairs"))
+        .where(F.col("found") >= F.col("of") * share)
     )
-    consistent = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"]))) == F.size("pairs")
-    return aligned.where(consistent & (F.col("found") >= F.col("of") * share)).select("row", "doc_id", "item_id", "at", "found", "of")
+    different = F.array_distinct("pairs")
+    bound = F.filter(different, lambda d: d["i"] > 0)
+    strict = F.size(bound) == F.size(F.array_distinct(F.transform(bound, lambda d: d["i"])))
+    loose = F.filter("pairs", lambda p: p["i"] < 0)
+    often = F.transform(F.array_distinct(loose), lambda d: F.struct(d["i"].alias("i"), F.size(F.filter(loose, lambda p: p == d)).alias("n")))
+    best = F.transform(F.array_distinct(F.transform(loose, lambda p: p["i"])), lambda i: F.array_max(F.transform(F.filter(often, lambda m: m["i"] == i), lambda m: m["n"])))
+    agreeing = F.size("pairs") - F.size(loose) + F.aggregate(best, F.lit(0), lambda total, n: total + n)
+    consistent = strict & (agreeing >= F.size("pairs") * AGREE)
+    held = aligned.where(consistent).select("row", "doc_id", "class", "at", "found", "of").distinct()
+    return held.join(classes.select("class", "items"), "class").select("row", "doc_id", F.explode_outer("items").alias("item_id"), "at", "found", "of")
+
+
+def _item_classes(asked: DataFrame) -> DataFrame:
+    """(class, items, windows, of): items whose windows are the same and whose slots hold equal values at the same places.
+
+    windows: array of (at, window, roles); roles number the item's different slot values, below zero those that bind nothing.
+    A class lists its items' different ids (none, if they are NULL).
+    """
+    own = asked.groupBy("row", "plain", "doc_id").agg(F.sort_array(F.collect_set(F.struct("at", "window", "slots"))).alias("w"))
+    values = own.withColumn("values", F.array_distinct(F.flatten("w.slots")))
+    numbered = F.transform(
+        "w", lambda w: F.struct(w["at"].alias("at"), w["window"].alias("window"), F.transform(w["slots"], lambda v: F.array_position("values", v) * F.when(v % 2 == 0, 1).otherwise(-1)).alias("roles"))
+    )
+    alike = values.select("plain", numbered.alias("windows"), "doc_id").groupBy("plain", "windows").agg(F.collect_set("doc_id").alias("items"))
+    return alike.select(F.xxhash64("plain", "windows").alias("class"), "items", "windows", F.size("windows").cast("long").alias("of"))
 
 
 def leaks(docs: DataFrame, benchmark: DataFrame, window: int = WINDOW, share: float = SHARE) -> DataFrame:
