@@ -14,10 +14,12 @@ from vintage.catalogue.base import (
     scored_documents,
     table,
 )
+from vintage.functions.ordering import grouped_quantiles
 from vintage.operators import monitor, score
 from vintage.sources.tables import scratch_path
 from vintage.streaming import blocks
 from vintage.streaming import requests as streams
+from vintage.streaming import windows
 
 _RULES = [r for r in score.application_rules() if r.name in {"loan_amnt", "int_rate", "installment", "annual_inc", "dti", "fico_range_low", "fico_range_high"}]
 _PAIR = [("fico_range_low", "fico_range_high")]
@@ -244,6 +246,35 @@ def stream_request_stats(spark, sf_dir):
     return _shown(_start_text(streams.run_available(stats, scratch_path(spark, "requests"))))
 
 
+@query(f"WITH {LOG_SQL} SELECT strftime(ts, '%Y-%m-%d') AS window_start, method, endpoint, {_STATS} FROM r GROUP BY 1, 2, 3")
+def stream_request_updates(spark, sf_dir):
+    """The same in update mode, one file per micro-batch; the files are not in order of time, so the delay covers all."""
+    path = scratch_path(spark, "updates")
+    stats = streams.windowed_requests(_files(spark, sf_dir, path, 4), watermark="3650 days")
+    windows.run_updates(stats, f"{path}/windows")
+    return _shown(_start_text(windows.latest(spark, f"{path}/windows", stats, ["window_start", "method", "endpoint"])))
+
+
+@query(
+    f"""WITH {LOG_SQL}, a AS (SELECT strftime(ts, '%Y-%m-%d') AS window_start, method, endpoint, COUNT(*) AS n,
+          CAST(COUNT(*) FILTER (status >= 400) AS DOUBLE) / COUNT(*) AS e, quantile_cont(duration, 0.95) AS p FROM r GROUP BY 1, 2, 3)
+        SELECT window_start, method, endpoint, n AS total_requests, ROUND(e, 6) AS error_rate, e > 0.05 AS error_alert,
+               ROUND(p, 6) AS exact_p95, p IS NOT NULL AS enclosed FROM a"""
+)
+def stream_alerts(spark, sf_dir):
+    """Alerts of windows from a stream's sketches, and whether their bounds enclose the exact p95 of the table."""
+    path = scratch_path(spark, "alerts")
+    found = windows.windowed_alerts(_files(spark, sf_dir, path, 4), watermark="3650 days")
+    windows.run_updates(found, f"{path}/windows")
+    keys = ["window_start", "method", "endpoint"]
+    seen = _start_text(windows.latest(spark, f"{path}/windows", found, keys))
+    days = request_log(spark, sf_dir).withColumn("window_start", F.date_format("ts", "yyyy-MM-dd"))
+    exact = grouped_quantiles(days, keys, ["duration"], [0.95]).withColumnRenamed("q0", "exact_p95")
+    enclosed = F.coalesce(F.col("exact_p95").between(F.col("p95_low") - 1e-9, F.col("p95_high") + 1e-9), F.lit(False))
+    shown = seen.join(exact, keys).select(*keys, "total_requests", "error_rate", "error_alert", "exact_p95", enclosed.alias("enclosed"))
+    return rounded(shown, ["error_rate", "exact_p95"])
+
+
 @query(
     f"""WITH {LOG_SQL} SELECT strftime(ts, '%Y-%m-%d') AS window_start, CASE WHEN value >= 50 THEN 1 ELSE 0 END AS prediction,
         COUNT(*) AS predictions, ROUND(AVG(least(value / 100, 1)), 6) AS mean_probability FROM r GROUP BY 1, 2"""
