@@ -20,25 +20,38 @@ from vintage.spec import LoanSpec
 
 _LINEITEM = (
     "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax "
-    "l_returnflag l_linestatus"
+    "l_returnflag l_linestatus l_shipdate"
 ).split()
-_SPARK_TYPES = {"l_linenumber": "int", "l_returnflag": "string", "l_linestatus": "string"}
-_SPARK_TYPES |= {c: "bigint" for c in ("l_orderkey", "l_partkey", "l_suppkey")}
-_SPARK_TYPES |= {c: "double" for c in ("l_quantity", "l_extendedprice", "l_discount", "l_tax")}
+#: Names of column types in SQL and in Spark.
+_TYPES = {"BIGINT": "bigint", "INTEGER": "int", "DOUBLE": "double", "VARCHAR": "string", "TIMESTAMP": "timestamp_ntz"}
+_TYPE_OF = "MAX(CASE typeof({c}) " + " ".join(f"WHEN '{k}' THEN '{v}'" for k, v in _TYPES.items()) + " END)"
 
 
-@query(
-    " UNION ALL ".join(
-        f"""SELECT '{c}' AS "column", '{_SPARK_TYPES[c]}' AS type, COUNT(*) AS "rows",
-            COUNT(*) - COUNT({c}) AS nulls, COUNT(DISTINCT {c}) AS "distinct",
+def _profile_sql(distinct):
+    return " UNION ALL ".join(
+        f"""SELECT '{c}' AS "column", {_TYPE_OF.format(c=c)} AS type, COUNT(*) AS "rows", COUNT(*) - COUNT({c}) AS nulls,
+            {f'COUNT(DISTINCT {c}) AS "distinct",' if distinct else ""}
             CAST(MIN({c}) AS VARCHAR) AS min, CAST(MAX({c}) AS VARCHAR) AS max FROM lineitem"""
         for c in _LINEITEM
     )
-)
+
+
+@query(_profile_sql(True))
 def column_profile(spark, sf_dir):
     return profile.column_profile(table(spark, sf_dir, "lineitem"), _LINEITEM, exact=True)
 
 
+@query(_profile_sql(False))
+def one_pass_profile(spark, sf_dir):
+    """All but the approximate distinct counts of the profile in one pass."""
+    return profile.column_profile(table(spark, sf_dir, "lineitem"), _LINEITEM).drop("distinct")
+
+
+@query(f'SELECT type, COUNT(*) AS columns FROM ({_profile_sql(False)}) GROUP BY 1')
+def type_histogram(spark, sf_dir):
+    return profile.type_histogram(profile.column_profile(table(spark, sf_dir, "lineitem"), _LINEITEM))
+
+
 @query(
     f"""WITH {GAPS_SQL} SELECT COUNT(*) AS "rows", 8 AS columns,
         8 * COUNT(*) - COUNT(o_orderkey) - COUNT(price) - COUNT(priority) - COUNT(cust) - COUNT(issued)

@@ -1,5 +1,6 @@
 """Sampling, split, label and feature queries."""
 
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
 from vintage.catalogue.base import LABELS, LOANS_SQL, day_text, loans, query, rounded, table
@@ -240,3 +241,24 @@ def feature_table(spark, sf_dir):
     )
     width = F.lit(len([c for c in made.columns if c not in ("split", "target")]))
     return rounded(stats.withColumn("columns", width), ["mean_ratio"])
+
+
+_NUMBERS = ["l_quantity", "l_extendedprice", "l_discount", "l_linenumber"]
+
+
+@query(
+    " UNION ALL ".join(
+        f"""SELECT CASE WHEN l_returnflag = 'R' THEN 1.0::DOUBLE ELSE 0.0::DOUBLE END AS label, {k} AS place, COUNT(*) AS "rows",
+            MIN(CAST({c} AS DOUBLE)) AS low, MAX(CAST({c} AS DOUBLE)) AS high, ROUND(AVG({c}), 6) AS mean FROM lineitem GROUP BY 1"""
+        for k, c in enumerate(_NUMBERS)
+    )
+)
+def feature_matrix(spark, sf_dir):
+    """Each place of the feature vectors, summed up per label."""
+    flagged = table(spark, sf_dir, "lineitem").withColumn("returned", F.col("l_returnflag") == "R")
+    made = features.feature_matrix(flagged, "returned", _NUMBERS)
+    cells = made.select("label", F.posexplode(vector_to_array("features")).alias("place", "value"))
+    stats = cells.groupBy("label", "place").agg(
+        F.count("*").alias("rows"), F.min("value").alias("low"), F.max("value").alias("high"), F.avg("value").alias("mean")
+    )
+    return rounded(stats, ["mean"])
