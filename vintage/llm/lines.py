@@ -10,6 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from vintage.functions.columns import unused
 from vintage.llm.common import arrow_schema, batch_of, bounded_batches, cut, mix64, row_key
 
 #: Lines of a window.
@@ -92,13 +93,14 @@ def dedup_lines(docs: DataFrame, size: int = WINDOW) -> DataFrame:
         rows = [(None, 0) if t is None else _without(t, s) for t, s in zip(text, spans, strict=True)]
         return pd.DataFrame(rows, columns=["text", "n"])
 
-    spans = repeated_lines(docs, size).withColumnRenamed("row", "_line_row")
-    touched = F.col("_spans").isNotNull()
-    joined = docs.withColumn("_row", row_key()).join(spans, F.col("_row") == F.col("_line_row"), "left")
-    done = joined.withColumn("_clean", clean(F.when(touched, F.col("text")), "_spans"))
+    row, line_row, covered, cleaned = (unused(docs.columns, name) for name in ("_row", "_line_row", "_covered", "_clean"))
+    spans = repeated_lines(docs, size).select(F.col("row").alias(line_row), F.col("_spans").alias(covered))
+    touched = F.col(covered).isNotNull()
+    joined = docs.withColumn(row, row_key()).join(spans, F.col(row) == F.col(line_row), "left")
+    done = joined.withColumn(cleaned, clean(F.when(touched, F.col("text")), covered))
     return done.select(
-        *(F.when(touched, F.col("_clean.text")).otherwise(F.col("text")).alias("text") if c == "text" else c for c in docs.columns if c != "n_removed"),
-        F.when(touched, F.col("_clean.n")).otherwise(0).alias("n_removed"),
+        *(F.when(touched, F.col(cleaned)["text"]).otherwise(F.col("text")).alias("text") if c == "text" else c for c in docs.columns if c != "n_removed"),
+        F.when(touched, F.col(cleaned)["n"]).otherwise(0).alias("n_removed"),
     )
 
 
@@ -123,4 +125,5 @@ WITH lines AS (
     FROM lines l LEFT JOIN covered c ON c.doc_id = l.doc_id AND c.k = l.k GROUP BY l.doc_id
 )
 SELECT doc_id, CAST(n_lines AS BIGINT) AS n_lines, CAST(n_removed AS BIGINT) AS n_removed, sha256(text) AS kept_sha256 FROM kept
+UNION ALL SELECT doc_id, 0, 0, NULL FROM documents WHERE text IS NULL
 """

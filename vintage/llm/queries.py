@@ -37,7 +37,7 @@ def op5_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op6_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load(spark, sf_dir, "documents").where("text IS NOT NULL").select("doc_id", "text", F.size(F.split("text", "\n", -1)).alias("n_lines"))
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", F.coalesce(F.array_size(F.split("text", "\n", -1)), F.lit(0)).alias("n_lines"))
     return lines.dedup_lines(docs).select(
         "doc_id", F.col("n_lines").cast("long").alias("n_lines"), F.col("n_removed").cast("long").alias("n_removed"), F.sha2("text", 256).alias("kept_sha256")
     )
