@@ -121,3 +121,21 @@ def test_stacked_weights_are_the_minimum(rows):
             assert w[-1] == 0
     with pytest.raises(ValueError):
         stacked.fit_stack(folded.where("label = 1"), features, "label", [1.0], 3)
+
+
+def test_tree_attribution_works_out_each_leaf_once_for_many_rows(rows, monkeypatch):
+    model = train.fit(rows, "random_forest", FEATURES, params={"n_estimators": 3, "max_depth": 5}, key=["id"])
+    trees = attribution.tree_bundles([r.asDict() for r in attribution.node_table(model).collect()])
+    x = np.random.default_rng(1).normal(size=(1000, 5))
+    x[0, 0], x[1, 1] = np.nan, -np.inf
+    few = [attribution.shapley_of_trees(x[k : k + 1], trees) for k in range(40)]
+    worked, parts = [], attribution.shapley_parts
+    monkeypatch.setattr(attribution, "shapley_parts", lambda inside, share: worked.append(np.broadcast(inside, share).size) or parts(inside, share))
+    phi, value = attribution.shapley_of_trees(x[2:], trees)
+    once = sum(worked)
+    attribution.shapley_of_trees(np.concatenate([x[2:]] * 8), trees)
+    assert sum(worked) == 2 * once
+    everything = attribution.shapley_of_trees(x, trees)
+    assert np.allclose(everything[0][:40], np.concatenate([p for p, _ in few]), atol=1e-12)
+    assert np.allclose(everything[1][:40], np.concatenate([v for _, v in few]), atol=1e-12)
+    assert np.allclose(everything[0][2:], phi, atol=1e-15) and np.allclose(everything[1][2:], value, atol=1e-15)

@@ -215,7 +215,8 @@ def tree_attribution_sums(spark, sf_dir):
     out = None
     for name in ("random_forest", "gradient_boosting"):
         model = train.fit(rows.filter("split = 'train'"), name, TEXT_FEATURES)
-        shares = attribution.tree_attribution(model, rows, ["doc_id"])
+        # Two sums read the attributions, which cost more than all else here.
+        shares = tables.cut_lineage(attribution.tree_attribution(model, rows, ["doc_id"]))
         p = F.col("probability")
         scored = score.score(rows, model, ["doc_id"]).select("doc_id", (F.log(p) - F.log(1 - p) if name == "gradient_boosting" else p).alias("own"))
         sums = shares.groupBy("doc_id").agg((F.sum("phi") + F.max("base")).alias("total"))

@@ -6,6 +6,8 @@ import itertools
 import math
 import random
 from collections.abc import Iterator, Sequence
+from dataclasses import dataclass
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
@@ -23,6 +25,13 @@ from vintage.sources.tables import cut_lineage, model_features, scratch_path
 
 #: Coalitions that are all taken; models with more features sample as many.
 ALL_COALITIONS = 2048
+#: Rows that a task explains with the same tables, and rows of them in one look-up.
+CHUNK_ROWS = 1 << 16
+PASS_ROWS = 1 << 13
+#: Levels of a subtree whose leaves are looked up together.
+BUNDLE_LEVELS = 2
+#: Numbers of leaf tables that are worked out at once.
+TABLE_CELLS = 1 << 16
 NODES = "tree int, node int, left int, right int, feature int, threshold double, categories int, cover double, value double, weight double"
 
 
@@ -50,62 +59,209 @@ def node_table(model: PipelineModel) -> DataFrame:
     )
 
 
-def leaf_paths(nodes: list[dict]) -> tuple[list[tuple], float]:
-    """For each leaf (features, low, high, shares, value), and the mean over all leaves.
+@dataclass
+class Bundle:
+    """A subtree of few levels: its leaves as (features, low, high, shares, worth) and what tells them apart.
+
+    tests are (feature, low, high); asked has, for each leaf and each of its features, the
+    tests and the answers that a row in the leaf's interval (low, high] gives.
+    """
+
+    tests: list[tuple[int, float, float]]
+    leaves: list[tuple]
+    asked: list[list[tuple[tuple[int, bool], ...]]]
+
+
+def mean_value(nodes: list[dict]) -> float:
+    """Mean over all leaves by their share of the training rows."""
+    by = {(r["tree"], r["node"]): r for r in nodes}
+    mean = 0.0
+    stack = [(r, 1.0) for r in nodes if r["node"] == 0]
+    while stack:
+        r, reach = stack.pop()
+        if r["left"] < 0:
+            mean += r["value"] * r["weight"] * reach
+        elif r["categories"] != -1:
+            raise ValueError("trees with categorical splits are not supported")
+        else:
+            stack += [(c, reach * c["cover"] / r["cover"]) for c in (by[r["tree"], r["left"]], by[r["tree"], r["right"]])]
+    return mean
+
+
+def tree_bundles(nodes: list[dict]) -> list[list[Bundle]]:
+    """The leaves of each tree, those of one subtree of BUNDLE_LEVELS levels together.
 
     Splits of one feature along a path are one interval (low, high] and one share: the part
     of the training rows that the path keeps at them.
     """
     by = {(r["tree"], r["node"]): r for r in nodes}
-    out, base = [], 0.0
+
+    def children(r: dict) -> tuple[dict, dict]:
+        return by[r["tree"], r["left"]], by[r["tree"], r["right"]]
+
+    def narrowed(r: dict, path: dict) -> list[dict]:
+        f, at = r["feature"], r["threshold"]
+        a, b, z = path.get(f, (-np.inf, np.inf, 1.0))
+        left, right = (c["cover"] / r["cover"] for c in children(r))
+        return [{**path, f: (a, min(b, at), z * left)}, {**path, f: (max(a, at), b, z * right)}]
+
+    def fill(bundle: Bundle, r: dict, path: dict, asked: dict) -> None:
+        if r["left"] < 0:
+            own = sorted(path)
+            bundle.leaves.append((np.array(own, int), *(np.array([path[f][k] for f in own]) for k in range(3)), r["value"] * r["weight"]))
+            bundle.asked.append([asked[f] for f in own])
+            return
+        f, test = r["feature"], len(bundle.tests)
+        bundle.tests.append((f, -np.inf, r["threshold"]))
+        for c, narrow, answer in zip(children(r), narrowed(r, path), (True, False), strict=True):
+            fill(bundle, c, narrow, {**asked, f: (*asked.get(f, ()), (test, answer))})
+
+    out = []
     for root in (r for r in nodes if r["node"] == 0):
-        stack = [(root, {}, 1.0)]
+        seen = [root]
+        for r in seen:
+            seen += children(r) if r["left"] >= 0 else ()
+        height = {}
+        for r in reversed(seen):
+            height[r["node"]] = 1 + max(height[r["left"]], height[r["right"]]) if r["left"] >= 0 else 0
+        bundles, stack = [], [(root, {})]
         while stack:
-            r, path, reach = stack.pop()
-            if r["left"] < 0:
-                value = r["value"] * r["weight"]
-                base += value * reach
-                own = sorted(path)
-                out.append((np.array(own, int), *(np.array([path[f][k] for f in own]) for k in range(3)), value))
+            r, path = stack.pop()
+            if height[r["node"]] > BUNDLE_LEVELS:
+                stack += zip(children(r), narrowed(r, path), strict=True)
                 continue
-            if r["categories"] != -1:
-                raise ValueError("trees with categorical splits are not supported")
-            f, at = r["feature"], r["threshold"]
-            for child, low, high in ((r["left"], -np.inf, at), (r["right"], at, np.inf)):
-                c = by[r["tree"], child]
-                share = c["cover"] / r["cover"]
-                a, b, z = path.get(f, (-np.inf, np.inf, 1.0))
-                stack.append((c, {**path, f: (max(a, low), min(b, high), z * share)}, reach * share))
-    return out, base
-
-
-def shapley_of_leaves(x: np.ndarray, leaves: list[tuple]) -> tuple[np.ndarray, np.ndarray]:
-    """Path-dependent Shapley values (rows, features) and values (rows) of a sum of trees.
+            own = sorted(path)
+            bundles.append(Bundle([(f, *path[f][:2]) for f in own], [], []))
+            fill(bundles[-1], r, path, {f: ((k, True),) for k, f in enumerate(own)})
+        out.append(bundles)
+    return out
+
+
+@cache
+def _quadrature(n: int) -> tuple[np.ndarray, np.ndarray]:
+    """Gauss-Legendre points and weights of the integral from 0 to 1."""
+    points, weights = np.polynomial.legendre.leggauss(n)
+    return (points + 1) / 2, weights / 2
+
 
-    A leaf of k features is the game whose worth is its value times, for each feature, 1 or
-    0 where the feature is known (the row lies in the interval or not) and the share where
-    it is not. The weight of coalitions of s others, s! (k - 1 - s)! / k!, is the integral
-    of u^s (1 - u)^(k - 1 - s), so a feature's part is the integral of the product of
-    share * (1 - u) + inside * u over the others: a polynomial of degree k - 1, which
-    Gauss-Legendre quadrature of k / 2 points gives exactly.
+def shapley_parts(inside: np.ndarray, share: np.ndarray) -> np.ndarray:
+    """Path-dependent Shapley values (k, ...) of leaves of worth 1 and k features, for rows that are inside or not.
+
+    Such a leaf is the game whose worth is, for each feature, 1 or 0 where the feature is
+    known (the row lies in the interval or not) and the share where it is not. The weight of
+    coalitions of s others, s! (k - 1 - s)! / k!, is the integral of u^s (1 - u)^(k - 1 - s),
+    so a feature's part is the integral of the product of share * (1 - u) + inside * u over
+    the others: a polynomial of degree k - 1, which Gauss-Legendre quadrature of k / 2 points
+    gives exactly.
     """
-    phi, value = np.zeros(x.shape), np.zeros(len(x))
-    for features, low, high, share, worth in leaves:
-        k = len(features)
-        if not k:
-            value += worth
-            continue
-        inside = ((x[:, features] > low) & (x[:, features] <= high)).astype(float)
-        value += worth * inside.prod(1)
-        points, weights = np.polynomial.legendre.leggauss(k // 2 + 1)
-        u, weights = (points + 1) / 2, weights / 2
-        terms = share[None, :, None] * (1 - u) + inside[:, :, None] * u
+    k = len(inside)
+    total = np.zeros(np.broadcast_shapes(inside.shape, share.shape))
+    for u, weight in zip(*_quadrature(k // 2 + 1), strict=True):
+        terms = share * (1 - u) + inside * u
         before, after = np.ones_like(terms), np.ones_like(terms)
         for j in range(1, k):
-            before[:, j] = before[:, j - 1] * terms[:, j - 1]
-            after[:, k - 1 - j] = after[:, k - j] * terms[:, k - j]
-        phi[:, features] += worth * (inside - share) * ((before * after) @ weights)
-    return phi, value
+            np.multiply(before[j - 1], terms[j - 1], out=before[j])
+            np.multiply(after[k - j], terms[k - j], out=after[k - 1 - j])
+        total += weight * before * after
+    return (inside - share) * total
+
+
+def add_leaf(x: np.ndarray, leaf: tuple, phi: np.ndarray, value: np.ndarray) -> None:
+    """Add the parts of one leaf to phi (features, rows) and value (rows), for x (features, rows)."""
+    features, low, high, share, worth = leaf
+    if not len(features):
+        value += worth
+        return
+    inside = ((x[features] > low[:, None]) & (x[features] <= high[:, None])).astype(float)
+    value += worth * inside.prod(0)
+    phi[features] += worth * shapley_parts(inside, share[:, None])
+
+
+def _bits(k: int) -> np.ndarray:
+    """(k, 2^k): the answers that each number stands for."""
+    return (np.arange(1 << k) >> np.arange(k)[:, None] & 1).astype(bool)
+
+
+def _leaf_tables(leaves: list[tuple]) -> list[np.ndarray]:
+    """For each leaf (k, 2^k): its features' parts for every set of them that a row is inside of."""
+    out: list = [None] * len(leaves)
+    sizes: dict[int, list[int]] = {}
+    for n, leaf in enumerate(leaves):
+        sizes.setdefault(len(leaf[0]), []).append(n)
+    for k, all_ in sizes.items():
+        inside = _bits(k).astype(float)[:, None, :]
+        step = max(1, TABLE_CELLS // max(1, k << k))
+        for some in (all_[at : at + step] for at in range(0, len(all_), step)):
+            share = np.array([leaves[n][3] for n in some]).reshape(len(some), k).T[:, :, None]
+            worth = np.array([leaves[n][4] for n in some])[:, None]
+            parts = worth * shapley_parts(inside, share)
+            for at, n in enumerate(some):
+                out[n] = parts[:, at]
+    return out
+
+
+def shapley_of_trees(x: np.ndarray, trees: list[list[Bundle]]) -> tuple[np.ndarray, np.ndarray]:
+    """Path-dependent Shapley values (rows, features) and values (rows) of a sum of trees.
+
+    What a bundle adds depends only on the answers to its tests. With more rows than sets of
+    answers these are worked out once, and each row looks up its own; else, and for rows
+    with values that are not finite, each leaf is worked out for each row.
+    """
+    whole = np.isfinite(x).all(1)
+    n, d = int(whole.sum()), x.shape[1]
+    phi, value = np.zeros((d, len(x))), np.zeros(len(x))
+    odd, plain = np.ascontiguousarray(x[~whole].T), np.ascontiguousarray(x[whole].T)
+    odd_phi, odd_value = np.zeros(odd.shape), np.zeros(len(x) - n)
+    own_phi, own_value = np.zeros((d + 1, n)), np.zeros(n)
+
+    ends: list[set] = [set() for _ in range(d)]
+    for f, low, high in (t for bundles in trees for b in bundles for t in b.tests):
+        ends[f].update((low, high))
+    cuts = [np.array(sorted(e - {-np.inf, np.inf})) for e in ends]
+    kind = np.min_scalar_type(max((len(c) for c in cuts), default=0) + 1)
+    bins = [np.searchsorted(c, v).astype(kind) for c, v in zip(cuts, plain, strict=True)]
+
+    def span(f: int, low: float, high: float) -> tuple:
+        """The first bin of (low, high] and how many follow; a bin that no row has if it is empty."""
+        top = len(cuts[f])
+        first = 0 if low == -np.inf else int(np.searchsorted(cuts[f], low)) + 1
+        last = top if high == np.inf else int(np.searchsorted(cuts[f], high))
+        return (kind.type(first), kind.type(last - first)) if first <= last else (kind.type(top + 1), kind.type(0))
+
+    for bundles in trees:
+        if len(odd_value):
+            for leaf in (leaf for b in bundles for leaf in b.leaves):
+                add_leaf(odd, leaf, odd_phi, odd_value)
+        known = [b for b in bundles if 1 << len(b.tests) < n]
+        for leaf in (leaf for b in bundles if 1 << len(b.tests) >= n for leaf in b.leaves):
+            add_leaf(plain, leaf, own_phi, own_value)
+        tables = iter(_leaf_tables([leaf for b in known for leaf in b.leaves]))
+        for b in known:
+            t = len(b.tests)
+            answers = _bits(t)
+            features = sorted({int(f) for leaf in b.leaves for f in leaf[0]})
+            row = {f: k for k, f in enumerate(features)}
+            sums = np.zeros((len(features) + 1, 1 << t))
+            for leaf, asked, parts in zip(b.leaves, b.asked, tables):
+                inside = np.zeros(1 << t, int)
+                for k, tests in enumerate(asked):
+                    inside |= np.logical_and.reduce([answers[i] if yes else ~answers[i] for i, yes in tests]).astype(int) << k
+                for f, part in zip(leaf[0], parts, strict=True):
+                    sums[row[f]] += part[inside]
+                sums[-1] += leaf[4] * (inside == (1 << len(asked)) - 1)
+            spans = [(f, *span(f, low, high)) for f, low, high in b.tests]
+            wide = np.min_scalar_type(1 << t)
+            for at in range(0, n, PASS_ROWS):
+                part = slice(at, at + PASS_ROWS)
+                place = np.zeros(len(own_value[part]), wide)
+                for k, (f, first, more) in enumerate(spans):
+                    place |= (bins[f][part] - first <= more).astype(wide) << wide.type(k)
+                place = place.astype(np.intp)
+                for f, line in zip((*features, d), sums, strict=True):
+                    own_phi[f, part] += line.take(place, mode="clip")
+    phi[:, whole], value[whole] = own_phi[:d], own_phi[d] + own_value
+    phi[:, ~whole], value[~whole] = odd_phi, odd_value
+    return phi.T, value
 
 
 def tree_attribution(model: PipelineModel, df: DataFrame, key: Sequence[str]) -> DataFrame:
@@ -113,10 +269,13 @@ def tree_attribution(model: PipelineModel, df: DataFrame, key: Sequence[str]) ->
 
     key..., feature, phi, base, value, in the form of permutation_attribution; the parts of a
     row add up to value - base exactly. The node table, as large as the model that the driver
-    holds anyway, goes to the tasks; no other row than those of df is scored.
+    holds anyway, goes to the tasks; no other row than those of df is scored. The rows are
+    dealt to all cores, as a row costs a look-up for every few leaves of the model, and a
+    task works out what it looks up once for CHUNK_ROWS rows.
     """
     features = model_features(model)
-    leaves, base = leaf_paths([r.asDict() for r in node_table(model).collect()])
+    nodes = [r.asDict() for r in node_table(model).collect()]
+    base = mean_value(nodes)
     for stage in model.stages:
         if isinstance(stage, SQLTransformer):
             df = stage.transform(df)
@@ -124,15 +283,29 @@ def tree_attribution(model: PipelineModel, df: DataFrame, key: Sequence[str]) ->
     schema = StructType([*keyed.select(*key).schema.fields, StructField("_phi", ArrayType(DoubleType())), StructField("value", DoubleType())])
     width = len(key)
 
+    def explained(held: list[pa.RecordBatch], trees: list[list[Bundle]]) -> Iterator[pa.RecordBatch]:
+        rows = pa.Table.from_batches(held).combine_chunks()
+        x = np.stack([rows.column(width + k).to_numpy() for k in range(len(features))], 1)
+        phi, value = shapley_of_trees(x, trees)
+        starts = pa.array(np.arange(len(x) + 1, dtype=np.int32) * len(features))
+        lists = pa.ListArray.from_arrays(starts, pa.array(np.ascontiguousarray(phi).ravel()))
+        found = pa.table([*(rows.column(k) for k in range(width)), lists, pa.array(value)], names=[*rows.schema.names[:width], "_phi", "value"])
+        yield from found.to_batches(max_chunksize=PASS_ROWS)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees, held = None, []
         for b in batches:
-            x = np.stack([b.column(width + k).to_numpy(zero_copy_only=False) for k in range(len(features))], 1)
-            phi, value = shapley_of_leaves(x, leaves)
-            columns = [b.column(k) for k in range(width)] + [pa.array(list(phi), pa.list_(pa.float64())), pa.array(value)]
-            yield pa.RecordBatch.from_arrays(columns, names=[*b.schema.names[:width], "_phi", "value"])
+            trees = trees or tree_bundles(nodes)
+            held.append(b)
+            if sum(len(h) for h in held) >= CHUNK_ROWS:
+                yield from explained(held, trees)
+                held = []
+        if held:
+            yield from explained(held, trees)
 
     names = F.array(*map(F.lit, features))
-    found = keyed.mapInArrow(run, schema).select(*key, "value", F.posexplode("_phi").alias("_f", "phi"))
+    dealt = keyed.repartition(df.sparkSession.sparkContext.defaultParallelism)
+    found = dealt.mapInArrow(run, schema).select(*key, "value", F.posexplode("_phi").alias("_f", "phi"))
     return found.select(*key, F.get(names, F.col("_f")).alias("feature"), "phi", F.lit(float(base)).alias("base"), "value")
 
 
