@@ -139,3 +139,25 @@ def test_gain_importance(spark):
     assert got["c"]["splits"] == 0 and got["c"]["share"] == 0
     assert sum(r["share"] for r in got.values()) == pytest.approx(1)
     assert got["a"]["total_gain"] == pytest.approx(got["a"]["mean_gain"] * got["a"]["splits"])
+
+
+def test_passes_use_a_task_for_each_block_however_few_made_them(spark, monkeypatch):
+    monkeypatch.setattr(boosting, "BLOCK_ROWS", 100)
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "100")
+    df = vectors(table(spark, 800)[0])
+    seen, level = [], boosting.level_of_table
+    monkeypatch.setattr(boosting, "level_of_table", lambda state, tasks, *a: seen.append(state.select("block").distinct().count() / tasks) or level(state, tasks, *a))
+    try:
+        fits = [boosting.BoostedTrees(n_estimators=1, max_depth=2).fit(df.coalesce(n)).fitted() for n in (1, 3)]
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    assert fits[0] == fits[1]
+    assert max(seen) <= 3
+
+
+def test_descend_follows_the_nodes(spark):
+    tree = boosting.Tree(feature=[1, 0, 0, 0, 0], threshold=[0.0, 1.0, 0.0, 0.0, 0.0], left=[1, 3, -1, -1, -1], right=[2, 4, -1, -1, -1])
+    x = np.array([[0.0, -1.0], [2.0, -1.0], [0.0, 1.0], [np.nan, 0.0], [1.0, np.nan]])
+    assert tree.descend(x, tree.threshold).tolist() == [3, 4, 2, 4, 2]
+    assert boosting.Tree(feature=[0], threshold=[0.0], left=[-1], right=[-1]).descend(x, [0.0]).tolist() == [0] * 5
+    assert tree.descend(x[:0], tree.threshold).tolist() == []

@@ -57,12 +57,18 @@ class Tree:
 
     def descend(self, x: np.ndarray, at: Sequence[float]) -> np.ndarray:
         """The leaf of each row of x, whose columns are compared with ``at`` of the nodes."""
-        feature, at, left, right = (np.asarray(v) for v in (self.feature, at, self.left, self.right))
-        node, rows = np.zeros(len(x), np.int64), np.arange(len(x))
-        while len(rows):
-            rows = rows[left[node[rows]] >= 0]
-            here = node[rows]
-            node[rows] = np.where(x[rows, feature[here]] <= at[here], left[here], right[here])
+        inner = np.asarray(self.left) >= 0
+        own = np.arange(len(inner))
+        # Left and right child of each node in turn; a leaf is its own child, so rows wait there.
+        child = np.where(inner, (self.left, self.right), own).T.ravel()
+        depth = np.zeros(len(own), int)
+        for n in own[inner]:
+            depth[[self.left[n], self.right[n]]] = depth[n] + 1
+        feature, at = np.asarray(self.feature), np.asarray(at)
+        flat, first, node = np.ascontiguousarray(x).ravel(), np.arange(len(x)) * x.shape[1], np.zeros(len(x), np.int64)
+        for _ in range(depth.max(initial=0)):
+            right = ~(flat.take(first + feature.take(node)) <= at.take(node))
+            node = child.take(2 * node + right)
         return node
 
 
@@ -317,10 +323,14 @@ class BoostedTrees(Estimator):
         vector, label, weight = self.columns
         options = self.options
         rows = dataset.select(vector_to_array(vector).alias("x"), F.col(label).cast("int").alias("y"), F.col(weight).cast("double").alias("w"))
-        first = rows.select(F.size("x")).head()
-        width = first[0] if first else 0
+        found = rows.agg(F.max(F.size("x")), F.count("*")).head()
+        width = found[0] or 0
         cuts = quantile_cuts(rows, "x", width, options.max_bins) if width else []
-        state, path = _written(_blocks(rows, cuts))
+        blocks = _blocks(rows, cuts)
+        if found[1] > BLOCK_ROWS:
+            # A file for each block, so that the passes use all cores however few tasks made the blocks.
+            blocks = blocks.repartition(-(-found[1] // BLOCK_ROWS))
+        state, path = _written(blocks)
         try:
             total = state.agg(F.sum("size"), F.max("size"), F.max("heaviest")).head()
             count, largest, heaviest = total[0] or 0, total[1] or 1, total[2] or 1.0
