@@ -4,7 +4,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from vintage.functions import ordering
-from vintage.operators import evaluate, train
+from vintage.operators import evaluate, explain, train
 from vintage.plans import jobs
 from vintage.sources import tables
 
@@ -94,3 +94,12 @@ def test_a_cluster_needs_a_shared_folder():
 def test_empty_scores(spark):
     none = spark.createDataFrame([], "model string, label int, probability double, prediction int")
     assert evaluate.evaluate(none).count() == 0
+
+
+def test_breakdown_deals_its_rows_to_tasks_by_their_number(spark, monkeypatch):
+    phi = spark.range(600).select((F.col("id") / 3).cast("int").alias("id"), F.concat(F.lit("f"), F.col("id") % 3).alias("feature"), (F.col("id") % 5 - 2.0).alias("phi"))
+    whole = explain.instance_breakdown(phi, ["id"], 1)
+    monkeypatch.setattr(explain, "GROUPED_ROWS", 30)
+    dealt = explain.instance_breakdown(phi, ["id"], 1)
+    assert dealt.rdd.getNumPartitions() == 20
+    assert sorted(dealt.collect()) == sorted(whole.collect())

@@ -21,6 +21,8 @@ from vintage.sources.tables import cut_lineage, model_features
 
 # A background of up to this many numbers (16 MB) is sent to every executor.
 BROADCAST_CELLS = 2_000_000
+# Attribution rows that a task groups at once.
+GROUPED_ROWS = 500_000
 TREES = ("RandomForestClassificationModel", "BoostedTreesModel")
 
 
@@ -175,8 +177,12 @@ def top_features(table: DataFrame, k: int = 10, by: Sequence[str] = ("model",))
 def instance_breakdown(attribution: DataFrame, key: Sequence[str], k: int = 15) -> DataFrame:
     """Waterfall data: the ``k`` largest contributions per row, rest as one.
 
-    The row's base value is carried along when the attribution has one.
+    The row's base value is carried along when the attribution has one. The rows are
+    counted and dealt by key so that a task orders about GROUPED_ROWS of them, however
+    many there are.
     """
+    tasks = -(-attribution.count() // GROUPED_ROWS)
+    attribution = attribution.repartition(max(tasks, 1), *key)
     w = Window.partitionBy(*key).orderBy(F.desc(F.abs("phi")), "feature")
     ranked = attribution.withColumn("rank", F.least(F.row_number().over(w), F.lit(k + 1)))
     name = F.when(F.col("rank") <= k, F.col("feature")).otherwise("other")
