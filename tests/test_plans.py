@@ -7,6 +7,7 @@ from vintage.functions import ordering
 from vintage.operators import evaluate, explain, train
 from vintage.plans import jobs
 from vintage.sources import tables
+from vintage.spec import LoanSpec
 
 
 def _row_exchanges(df):
@@ -96,6 +97,31 @@ def test_empty_scores(spark):
     assert evaluate.evaluate(none).count() == 0
 
 
+def counted_loans(spark):
+    """400 loans and the number of times that one of them was made."""
+    made = spark.sparkContext.accumulator(0)
+
+    @F.udf("string")
+    def status(k):
+        made.add(1)
+        return "P" if k % 3 == 0 else "F"
+
+    k = F.col("id")
+    rows = spark.range(400).select(
+        "id", status("id").alias("loan_status"), F.date_add(F.lit("2015-01-01").cast("date"), (k % 300).cast("int")).alias("issue_d"), F.lit("car").alias("purpose"),
+        (k * 7 % 90 + 100.0).alias("loan_amnt"), (k % 13 + 1.0).alias("int_rate"), (k % 7 + 2.0).alias("dti"), (k % 31 + 900.0).alias("annual_inc"),
+        (k % 40 + 600).alias("fico_range_low"), (k % 40 + 604).alias("fico_range_high"),
+    )
+    return rows, made
+
+
+def test_training_makes_the_raw_rows_once(spark):
+    raw, made = counted_loans(spark)
+    result = jobs.train_from_raw(raw, LoanSpec(labels={"F": 0, "P": 1}), "full", models=("logistic_regression",), tune=False)
+    assert result["metrics"].count() == 1
+    assert made.value == 400
+
+
 def test_breakdown_deals_its_rows_to_tasks_by_their_number(spark, monkeypatch):
     phi = spark.range(600).select((F.col("id") / 3).cast("int").alias("id"), F.concat(F.lit("f"), F.col("id") % 3).alias("feature"), (F.col("id") % 5 - 2.0).alias("phi"))
     whole = explain.instance_breakdown(phi, ["id"], 1)

@@ -162,8 +162,10 @@ def train_from_raw(raw: DataFrame, spec: LoanSpec = LoanSpec(), mode: str = "dev
     """Validate, drop by plan, clean, build features, fit or tune, evaluate and pick the best model.
 
     The target and the date are not imputed: a row without either is no
-    training row.
+    training row. The raw table is cut from its lineage once: some ten passes of the
+    steps read it, and none of them does its joins again.
     """
+    raw = cut_lineage(raw)
     cleaned, reports = clean_table(raw, spec, exclude=[spec.target, spec.date], plan=plan)
     kept = tuple(c for c in spec.excluded if c not in spec.row_key)
     made, more = build_features(cleaned, replace(spec, excluded=kept), mode)
