@@ -3,6 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
+from vintage.catalogue import models
 from vintage.functions import ordering
 from vintage.operators import evaluate, explain, train
 from vintage.plans import jobs
@@ -122,6 +123,13 @@ def test_training_makes_the_raw_rows_once(spark):
     assert made.value == 400
 
 
+def test_scored_applications_make_the_loans_once(spark, monkeypatch):
+    raw, made = counted_loans(spark)
+    monkeypatch.setattr(models, "loans", lambda *_: raw)
+    assert sum(r.rows for r in models.scored_applications(spark, "").collect()) == 400
+    assert made.value == 400
+
+
 def test_breakdown_deals_its_rows_to_tasks_by_their_number(spark, monkeypatch):
     phi = spark.range(600).select((F.col("id") / 3).cast("int").alias("id"), F.concat(F.lit("f"), F.col("id") % 3).alias("feature"), (F.col("id") % 5 - 2.0).alias("phi"))
     whole = explain.instance_breakdown(phi, ["id"], 1)

@@ -181,7 +181,8 @@ def retrain_row_counts(spark, sf_dir):
 @query()
 def scored_applications(spark, sf_dir):
     """Rows rejected by rule or for a NULL feature, and scored rows by class."""
-    rows = loans(spark, sf_dir)
+    # The medians, the fit and the scores read the rows; their joins are done once.
+    rows = tables.cut_lineage(loans(spark, sf_dir))
     inputs = ["loan_amnt", "int_rate", "dti", "annual_inc", "fico_midpoint", "issue_month"]
     labelled = features.engineer_features(split.map_labels(rows, "loan_status", LABELS))
     fill = train.medians(labelled, inputs)
