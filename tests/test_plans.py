@@ -3,7 +3,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from vintage.catalogue import models
+from vintage.catalogue import base, models
 from vintage.functions import ordering
 from vintage.operators import evaluate, explain, train
 from vintage.plans import jobs
@@ -130,6 +130,30 @@ def test_scored_applications_make_the_loans_once(spark, monkeypatch):
     assert made.value == 400
 
 
+def test_loans_send_no_table_through_the_driver(spark, tmp_path):
+    """Customers and line items are never broadcast, however small their files; loans without either stay."""
+    k = F.col("id")
+    tables_ = {
+        "customer": spark.range(4).select(F.when(k < 3, k).alias("c_custkey"), (k * 10.0).alias("c_acctbal"), F.lit("A").alias("c_mktsegment"), k.cast("int").alias("c_nationkey"))
+        .unionByName(spark.range(1).select(F.lit(1).cast("long").alias("c_custkey"), F.lit(99.0).alias("c_acctbal"), F.lit("B").alias("c_mktsegment"), F.lit(7).alias("c_nationkey"))),
+        "orders": spark.range(20).select(
+            F.when(k != 19, k).alias("o_orderkey"), F.when(k % 5 < 4, k % 5).alias("o_custkey"), F.lit("F").alias("o_orderstatus"), F.lit("LOW").alias("o_orderpriority"),
+            (k + 1.0).alias("o_totalprice"), F.lit("2015-01-01").cast("timestamp").alias("o_orderdate")),
+        "lineitem": spark.range(30).select(
+            F.when(k < 29, k % 10).alias("l_orderkey"), (k + 0.0).alias("l_quantity"), F.lit(8.0).alias("l_extendedprice"), F.lit(0.5).alias("l_discount"), F.lit(0.25).alias("l_tax"),
+            F.lit("2014-01-01").cast("timestamp").alias("l_shipdate")),
+    }
+    for name, rows in tables_.items():
+        rows.write.parquet(str(tmp_path / f"{name}.parquet"))
+    made = base.loans(spark, str(tmp_path))
+    found = [(r.id, r.annual_inc, r.dti) for r in made.collect()]
+    assert "Broadcast" not in made._jdf.queryExecution().executedPlan().toString()
+    dti = {o: sum(float(i) for i in range(29) if i % 10 == o) for o in range(10)}
+    income = {0: [0.0], 1: [10.0, 99.0], 2: [20.0]}
+    want = [(o if o != 19 else None, inc, dti.get(o)) for o in range(20) for inc in income.get(o % 5, [None])]
+    assert sorted(found, key=str) == sorted(want, key=str)
+
+
 def test_breakdown_deals_its_rows_to_tasks_by_their_number(spark, monkeypatch):
     phi = spark.range(600).select((F.col("id") / 3).cast("int").alias("id"), F.concat(F.lit("f"), F.col("id") % 3).alias("feature"), (F.col("id") % 5 - 2.0).alias("phi"))
     whole = explain.instance_breakdown(phi, ["id"], 1)

@@ -76,8 +76,9 @@ def loans(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
     orders = table(spark, sf_dir, "orders")
     customer = table(spark, sf_dir, "customer")
-    joined = orders.join(items, orders.o_orderkey == items.l_orderkey, "left").join(
-        customer, orders.o_custkey == customer.c_custkey, "left"
+    # Merged, never broadcast: small files may hold many rows, all of which would pass through the driver.
+    joined = orders.join(customer.hint("merge"), orders.o_custkey == customer.c_custkey, "left").join(
+        items.hint("merge"), orders.o_orderkey == items.l_orderkey, "left"
     )
     return joined.select(
         F.col("o_orderkey").alias("id"),
