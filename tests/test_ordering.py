@@ -73,6 +73,39 @@ def test_running_totals_equal_a_plain_window(table, values, descending):
             assert got[(g, x)] == (before, len(xs))
 
 
+@pytest.mark.parametrize("rows", [10**6, 10])
+def test_quantiles_of_one_bucket_broadcast_nothing(spark, table, values, monkeypatch, rows):
+    """The values in the brackets fill one bucket, or many if few rows fill one; the quantiles are the same."""
+    made = []
+
+    def kept(*args, **options):
+        made.append(real(*args, **options))
+        return made[-1]
+
+    real = ordering.running_totals
+    monkeypatch.setattr(ordering, "running_totals", kept)
+    monkeypatch.setattr(ordering, "SINGLE_TASK_ROWS", rows)
+    monkeypatch.setattr(ordering, "ACCURACY", 10)
+    found = ordering.exact_quantiles(table, ["x", "y"], [0.5], limit=0)
+    for c, i in (("x", 2), ("y", 3)):
+        assert found[c] == pytest.approx([float(np.quantile([r[i] for r in values if r[i] is not None], 0.5))])
+    made[0].collect()
+    assert made[0].columns == ["slot", "value", "n", "all_n", "cum_n"]
+    # With many buckets the join with their totals is Spark's to choose.
+    assert rows == 10 or "Broadcast" not in made[0]._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize("descending", [False, True])
+@pytest.mark.parametrize("by", [[], ["g"]])
+def test_running_totals_are_the_same_for_one_bucket_and_many(spark, descending, by):
+    data = [(g, x, n) for g in ("a", None) for x, n in ((None, 2), (float("nan"), 3), (-1.0, 4), (0.0, 5), (2.5, 1), (float("inf"), 6))]
+    groups = spark.createDataFrame(data if by else data[:6], "g string, x double, n long")
+    one, many = (ordering.running_totals(groups, "x", ["n"], by=by, descending=descending, cuts=c) for c in ([], [0.0, 2.0]))
+    assert one.schema == many.schema
+    assert sorted(map(str, one.collect())) == sorted(map(str, many.collect()))
+    assert {(r.g, r.all_n) for r in one.collect()} == {(r.g, 21) for r in groups.collect()}
+
+
 def test_hash_rank_is_a_permutation_per_group(table, values):
     rows = ordering.hash_rank(table, ["id"], by=["g"], bits=4).collect()
     assert len(rows) == len(values)

@@ -105,13 +105,18 @@ def running_totals(
     if cuts is None:
         cuts = cut_points(groups, order)
     direction = (lambda c: F.col(c).desc()) if descending else (lambda c: F.col(c).asc())
-    rows = _grouped(_with_bucket(groups, order, cuts), by)
-    totals = rows.groupBy(*_slots(by)).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
     part = ["_by"] if by else [F.lit(0)]
-    before = Window.partitionBy(*part).orderBy(direction("_bucket")).rowsBetween(
-        Window.unboundedPreceding, -1
-    )
     whole = Window.partitionBy(*part)
+    if not cuts:
+        # A single bucket starts at zero: no totals are joined, which Spark would broadcast as a page of memory.
+        upto = whole.orderBy(direction(order)).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+        ranked = _grouped(groups, by).withColumns(
+            {**{f"all_{s}": F.sum(s).over(whole) for s in sums}, **{f"cum_{s}": F.sum(s).over(upto) for s in sums}}
+        )
+        return ranked.drop("_by")
+    rows = _grouped(_with_bucket(groups, order, cuts), by)
+    totals = rows.groupBy(*_slots(by)).agg(*[F.sum(s).alias(f"_t_{s}") for s in sums])
+    before = whole.orderBy(direction("_bucket")).rowsBetween(Window.unboundedPreceding, -1)
     offsets = totals.select(
         *_slots(by),
         *[F.coalesce(F.sum(f"_t_{s}").over(before), F.lit(0)).alias(f"_o_{s}") for s in sums],
